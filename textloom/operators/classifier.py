@@ -6,22 +6,20 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import IndexToString, StringIndexerModel
-from pyspark.ml.functions import vector_to_array
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.operators import prepare
 from textloom.operators.frames import side_by_side, top_per_group
 from textloom.operators.metrics import class_scores, confusion, overall_scores
+from textloom.operators.softmax import fit_softmax, probabilities
 from textloom.operators.split import SEED, TEST_SIZE, with_test_flag
 from textloom.operators.tfidf import (
     MODEL_TFIDF,
     TfidfConfig,
     TfidfModel,
     fit_tfidf,
-    model_terms,
     transform_tfidf,
 )
 from textloom.plans.session import staged
@@ -39,116 +37,104 @@ class TextClassifier:
     balanced: bool = True
     c: float = 1.0
     max_iter: int = 1000
-    tol: float = 1e-6
 
     def fit(self, df: DataFrame, text_col: str = "text", label_col: str = "label") -> TextModel:
-        """Fit on labelled rows. A single class gives a model that always predicts it.
-
-        The objective is ``C * sum(weighted loss) + |w|^2 / 2``; divided by the weight total it
-        is Spark's, with ``regParam = 1 / (C * total)``. Standardisation would change it.
-        """
+        """Fit on labelled rows. A single class gives a model that always predicts it."""
         counts = {row[0]: row[1] for row in df.groupBy(label_col).count().collect()}
         if not counts:
             raise NotTrainable("no labelled rows to fit")
         labels = sorted(counts)
         tfidf = fit_tfidf(df, self.tfidf, text_col)
         if len(labels) == 1 or not tfidf.terms:
-            return TextModel(tuple(labels), tfidf, None, max(labels, key=lambda label: counts[label]))
+            return TextModel(tuple(labels), tfidf, None, None, max(labels, key=lambda label: counts[label]))
         total = sum(counts.values())
-        weights = {
-            label: total / (len(labels) * counts[label]) if self.balanced else 1.0 for label in labels
-        }
-        weight_table = F.broadcast(
-            df.sparkSession.createDataFrame(list(weights.items()), "_label string, _weight double")
+        weights = [total / (len(labels) * counts[label]) if self.balanced else 1.0 for label in labels]
+        place = F.array_position(F.array(*map(F.lit, labels)), F.col("_label")).cast("int")
+        rows = transform_tfidf(df.select(text_col, F.col(label_col).alias("_label")), tfidf, text_col).select(
+            "features",
+            (place - 1).alias("target"),
+            F.element_at(F.array(*map(F.lit, weights)), place).alias("weight"),
         )
-        rows = transform_tfidf(df.select(text_col, F.col(label_col).alias("_label")), tfidf, text_col)
-        rows = rows.join(weight_table, "_label")
-        indexed = StringIndexerModel.from_labels(labels, inputCol="_label", outputCol="_index").transform(rows)
-        regression = LogisticRegression(
-            featuresCol="features",
-            labelCol="_index",
-            weightCol="_weight",
-            regParam=1.0 / (self.c * total),
-            elasticNetParam=0.0,
-            standardization=False,
-            maxIter=self.max_iter,
-            tol=self.tol,
-        )
-        return TextModel(tuple(labels), tfidf, regression.fit(indexed.select("features", "_index", "_weight")), None)
+        coefficients, intercepts = fit_softmax(rows, len(tfidf.terms), len(labels), self.c, self.max_iter)
+        return TextModel(tuple(labels), tfidf, coefficients, intercepts, None)
 
 
 @dataclass(frozen=True)
 class TextModel:
-    """A fitted classifier: sorted labels, vocabulary and coefficients (or one constant label)."""
+    """A fitted classifier: sorted labels, vocabulary and coefficients (or one constant label).
+
+    Two classes share one row of coefficients, which speaks for the second.
+    """
 
     labels: tuple[str, ...]
     tfidf: TfidfModel
-    regression: LogisticRegressionModel | None
+    coefficients: np.ndarray | None
+    intercepts: np.ndarray | None
     constant: str | None
 
     def predict(self, df: DataFrame, text_col: str = "text") -> DataFrame:
         """Add ``prediction`` and ``probability``, the latter in the order of ``labels``."""
-        if self.regression is None:
+        if self.coefficients is None:
             chances = [1.0 if label == self.constant else 0.0 for label in self.labels]
-            return df.withColumns({"prediction": F.lit(self.constant), "probability": F.array(*[F.lit(p) for p in chances])})
-        return self._decode(self.regression.transform(transform_tfidf(df, self.tfidf, text_col, "_features"))).drop("_features")
-
-    def _decode(self, scored: DataFrame) -> DataFrame:
-        named = IndexToString(inputCol="_index", outputCol="prediction", labels=list(self.labels)).transform(scored)
-        return named.withColumn("probability", vector_to_array("_probability")).drop("_index", "_raw", "_probability")
+            return df.withColumns({"prediction": F.lit(self.constant), "probability": F.array(*map(F.lit, chances))})
+        return self._score(transform_tfidf(df, self.tfidf, text_col, "_features")).drop("_features")
 
-    def __post_init__(self) -> None:
-        if self.regression is not None:
-            self.regression.setFeaturesCol("_features").setPredictionCol("_index")
-            self.regression.setProbabilityCol("_probability").setRawPredictionCol("_raw")
+    def _score(self, rows: DataFrame) -> DataFrame:
+        best = F.array_position("probability", F.array_max("probability")).cast("int")
+        return rows.withColumn(
+            "probability", probabilities(F.col("_features"), self.coefficients, self.intercepts)
+        ).withColumn("prediction", F.element_at(F.array(*map(F.lit, self.labels)), best))
 
-    def coefficients(self) -> list[list[float]]:
-        """One row per class. Two classes share one row of coefficients, negated for the first."""
-        if self.regression is None:
-            return [[0.0] * len(self.tfidf.terms) for _ in self.labels]
-        rows = self.regression.coefficientMatrix.toArray().tolist()
-        return [[-value for value in rows[0]], rows[0]] if len(rows) == 1 else rows
+    def class_coefficients(self) -> np.ndarray:
+        """One row per class."""
+        if self.coefficients is None:
+            return np.zeros((len(self.labels), len(self.tfidf.terms)))
+        return self.coefficients if len(self.coefficients) > 1 else np.vstack([-self.coefficients, self.coefficients])
 
     def explain(self, df: DataFrame, id_col: str = "id", n: int = 10, text_col: str = "text") -> DataFrame:
         """The ``n`` terms that speak most for each row's prediction: id, label, rank, term, weight."""
-        rows = df.select(id_col, text_col)
-        if self.regression is None:
-            return rows.sparkSession.createDataFrame([], _explanation_schema(df, id_col))
-        scored = self.regression.transform(transform_tfidf(rows, self.tfidf, text_col, "_features"))
-        vectors = scored.select(
-            id_col,
-            F.element_at(F.array(*[F.lit(label) for label in self.labels]), (F.col("_index") + 1).cast("int")).alias("label"),
-            F.col("_index").cast("int").alias("_class"),
-            F.unwrap_udt("_features").alias("_v"),
+        if self.coefficients is None:
+            return df.sparkSession.createDataFrame([], _explanation_schema(df, id_col))
+        rows = self._score(transform_tfidf(df.select(id_col, text_col), self.tfidf, text_col, "_features"))
+        return top_contributions(
+            rows.select(id_col, F.col("prediction").alias("label"), F.col("_features").alias("features")),
+            self.tfidf, self.labels, self.class_coefficients(), id_col, n,
         )
-        return top_contributions(vectors, self.tfidf, self.coefficients(), id_col, n)
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """Store the vocabulary, the labels and the regression under one path."""
-        model_terms(spark.range(0), self.tfidf).coalesce(1).write.mode("overwrite").parquet(f"{path}/vocabulary")
+        """Store header, vocabulary and coefficients as tables under one path."""
         config = self.tfidf.config
         header = {
             "labels": list(self.labels),
             "constant": self.constant,
             "documents": self.tfidf.documents,
             "config": [config.max_features, config.ngram_low, config.ngram_high, config.sublinear],
+            "intercepts": None if self.intercepts is None else self.intercepts.tolist(),
         }
-        spark.createDataFrame([(json.dumps(header),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/header")
-        if self.regression is not None:
-            self.regression.write().overwrite().save(f"{path}/regression")
+        spark.createDataFrame([(json.dumps(header),)], "value string").write.mode("overwrite").text(f"{path}/header")
+        lines = np.zeros((0, len(self.tfidf.terms))) if self.coefficients is None else self.coefficients
+        rows = zip(range(len(self.tfidf.terms)), self.tfidf.terms, self.tfidf.idf, lines.T.tolist())
+        terms = spark.createDataFrame(list(rows), "term_index int, term string, idf double, coefficients array<double>")
+        terms.write.mode("overwrite").parquet(f"{path}/terms")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> TextModel:
         header = json.loads(spark.read.text(f"{path}/header").first()[0])
-        rows = sorted(spark.read.parquet(f"{path}/vocabulary").collect(), key=lambda row: row["term_index"])
+        rows = sorted(spark.read.parquet(f"{path}/terms").collect(), key=lambda row: row["term_index"])
         tfidf = TfidfModel(
             TfidfConfig(*header["config"]),
             tuple(row["term"] for row in rows),
             tuple(row["idf"] for row in rows),
             header["documents"],
         )
-        regression = None if header["constant"] is not None else LogisticRegressionModel.load(f"{path}/regression")
-        return TextModel(tuple(header["labels"]), tfidf, regression, header["constant"])
+        fitted = header["constant"] is None
+        return TextModel(
+            tuple(header["labels"]),
+            tfidf,
+            np.array([row["coefficients"] for row in rows]).T.copy() if fitted else None,
+            np.array(header["intercepts"]) if fitted else None,
+            header["constant"],
+        )
 
 
 def _explanation_schema(df: DataFrame, id_col: str) -> str:
@@ -157,25 +143,26 @@ def _explanation_schema(df: DataFrame, id_col: str) -> str:
 
 
 def top_contributions(
-    vectors: DataFrame, tfidf: TfidfModel, coefficients: Sequence[Sequence[float]], id_col: str, n: int
+    rows: DataFrame, tfidf: TfidfModel, labels: Sequence[str], coefficients: np.ndarray, id_col: str, n: int
 ) -> DataFrame:
-    """Largest positive ``weight * coefficient`` terms of each row for its class.
+    """Largest positive ``weight * coefficient`` terms of each row for its label.
 
     The coefficient table has one row per vocabulary term, so ``max_features`` bounds what is
     broadcast. A row's terms are ranked within the row's own group, never across rows.
     """
-    spark = vectors.sparkSession
-    table = spark.createDataFrame(
-        [(index, term, [float(row[index]) for row in coefficients]) for index, term in enumerate(tfidf.terms)],
+    table = rows.sparkSession.createDataFrame(
+        list(zip(range(len(tfidf.terms)), tfidf.terms, coefficients.T.tolist())),
         "term_index int, term string, _coef array<double>",
     )
-    terms = vectors.select(
-        id_col, "label", "_class", F.explode(F.arrays_zip("_v.indices", "_v.values")).alias("_e")
-    ).select(id_col, "label", "_class", F.col("_e.indices").alias("term_index"), F.col("_e.values").alias("_w"))
-    weighted = terms.join(F.broadcast(table), "term_index").withColumn(
-        "weight", F.col("_w") * F.element_at("_coef", F.col("_class") + 1)
+    own = F.array_position(F.array(*map(F.lit, labels)), F.col("label")).cast("int")
+    weighted = (
+        rows.select(id_col, "label", F.explode(F.arrays_zip("features.indices", "features.weights")).alias("_e"))
+        .select(id_col, "label", F.col("_e.indices").alias("term_index"), F.col("_e.weights").alias("_w"))
+        .join(F.broadcast(table), "term_index")
+        .withColumn("weight", F.col("_w") * F.element_at("_coef", own))
+        .where("weight > 0")
     )
-    best = top_per_group(weighted.where("weight > 0"), id_col, n, F.desc("weight"), F.col("term"))
+    best = top_per_group(weighted, id_col, n, F.desc("weight"), F.col("term"))
     return best.select(id_col, "label", "rank", "term", F.round("weight", 6).alias("weight"))
 
 

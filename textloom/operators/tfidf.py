@@ -6,14 +6,13 @@ every row is weighted where it lies.
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass
 
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from textloom.functions.text import model_tokens, ngrams
 
@@ -92,45 +91,40 @@ def fit_tfidf(df: DataFrame, config: TfidfConfig = MODEL_TFIDF, text_col: str =
     )
 
 
-def _as_vector(df: DataFrame, name: str) -> DataFrame:
-    """Turn the struct column back into a vector; Arrow batches pass through untouched."""
-    schema = T.StructType(
-        [
-            T.StructField(field.name, VectorUDT() if field.name == name else field.dataType)
-            for field in df.schema.fields
-        ]
-    )
-    return df.mapInArrow(lambda batches: batches, schema)
-
-
 def transform_tfidf(df: DataFrame, model: TfidfModel, text_col: str = "text", name: str = "features") -> DataFrame:
-    """Add the L2-normalised TF-IDF vector of every row."""
+    """Add the L2-normalised weights of every row as parallel arrays ``indices, weights``."""
+    if not model.terms:
+        empty = F.struct(F.array().cast("array<int>").alias("indices"), F.array().cast("array<double>").alias("weights"))
+        return df.withColumn(name, empty)
     counted = CountVectorizerModel.from_vocabulary(list(model.terms), inputCol="_terms", outputCol="_tf").transform(
         with_terms(df, model.config, text_col)
-    ).drop("_terms")
-    if model.config.sublinear:
-        raw = F.unwrap_udt("_tf")
-        damped = F.struct(
-            raw["type"].alias("type"),
-            raw["size"].alias("size"),
-            raw["indices"].alias("indices"),
-            F.transform(raw["values"], lambda tf: 1.0 + F.log(tf)).alias("values"),
+    )
+    # A constant array: parsed once by the optimiser, then indexed in place.
+    idf = F.from_json(F.lit(json.dumps(model.idf)), "array<double>")
+    damp = (lambda tf: 1.0 + F.log(tf)) if model.config.sublinear else (lambda tf: tf)
+    raw = F.unwrap_udt("_tf")
+    return (
+        counted.withColumn("_indices", raw["indices"])
+        .withColumn("_weights", F.zip_with("_indices", raw["values"], lambda index, tf: damp(tf) * F.get(idf, index)))
+        .withColumn("_norm", F.sqrt(F.aggregate("_weights", F.lit(0.0), lambda total, w: total + w * w)))
+        .withColumn(
+            name,
+            F.struct(
+                F.col("_indices").alias("indices"),
+                F.transform("_weights", lambda w: w / F.col("_norm")).alias("weights"),
+            ),
         )
-        counted = _as_vector(counted.withColumn("_tf", damped), "_tf")
-    weighted = ElementwiseProduct(scalingVec=Vectors.dense(list(model.idf)), inputCol="_tf", outputCol="_tfidf").transform(counted)
-    return Normalizer(p=2.0, inputCol="_tfidf", outputCol=name).transform(weighted).drop("_tf", "_tfidf")
+        .drop("_terms", "_tf", "_indices", "_weights", "_norm")
+    )
 
 
 def tfidf_weights(df: DataFrame, model: TfidfModel, id_col: str = "id", text_col: str = "text") -> DataFrame:
     """Long form: one row per document and vocabulary term that occurs in it."""
-    vectors = transform_tfidf(df.select(id_col, text_col), model, text_col).select(
-        id_col, F.unwrap_udt("features").alias("_v")
-    )
-    terms = model_terms(df, model)
+    rows = transform_tfidf(df.select(id_col, text_col), model, text_col)
     return (
-        vectors.select(id_col, F.explode(F.arrays_zip("_v.indices", "_v.values")).alias("_e"))
-        .select(id_col, F.col("_e.indices").alias("term_index"), F.col("_e.values").alias("weight"))
-        .join(F.broadcast(terms), "term_index")
+        rows.select(id_col, F.explode(F.arrays_zip("features.indices", "features.weights")).alias("_e"))
+        .select(id_col, F.col("_e.indices").alias("term_index"), F.col("_e.weights").alias("weight"))
+        .join(F.broadcast(model_terms(df, model)), "term_index")
         .select(id_col, "term", "weight")
     )
 
