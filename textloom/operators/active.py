@@ -45,13 +45,13 @@ def margin(probability: Column) -> Column:
 def select_uncertain(scored: DataFrame, strategy: str, n: int, id_col: str = "id", seed: int = SEED) -> DataFrame:
     """The ``n`` rows to label next, from rows with a ``probability``; ties by id.
 
-    Each task keeps its own best ``n``; the pool is never sorted as a whole.
+    Scores that differ only in the last digits of their arithmetic count as ties. Each task keeps its own best ``n``; the pool is never sorted as a whole.
     """
     n = max(1, n)
     if strategy == "random":
         return random_rows(scored, n, id_col, seed)
     score = -entropy(F.col("probability")) if strategy == "entropy" else margin(F.col("probability"))
-    return scored.orderBy(score, id_col).limit(n)
+    return scored.orderBy(F.round(score, 12), id_col).limit(n)
 
 
 def query(

@@ -21,6 +21,7 @@ from textloom.functions.text import (
 from textloom.operators import prepare
 from textloom.operators.dedup import duplicate_count
 from textloom.operators.frames import as_map, side_by_side, top_per_group
+from textloom.plans.session import small_side
 
 
 def prepare_corpus(df: DataFrame) -> DataFrame:
@@ -118,26 +119,40 @@ def length_histogram(df: DataFrame, bins: int = 50) -> DataFrame:
     return counts.groupBy(bin_number.cast("bigint").alias("bin")).agg(F.sum("rows").alias("rows")).orderBy("bin")
 
 
+def _quartiles(counts: DataFrame) -> DataFrame:
+    """Quartiles and fence distances per source, from rows per source and length."""
+    quartiles = counts.groupBy("source").agg(F.percentile("text_len", [0.25, 0.5, 0.75], F.col("rows")).alias("_q"))
+    return quartiles.select(
+        "source", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3")
+    )
+
+
+def _outside() -> Column:
+    spread = 1.5 * (F.col("q3") - F.col("q1"))
+    return (F.col("text_len") < F.col("q1") - spread) | (F.col("text_len") > F.col("q3") + spread)
+
+
 def length_boxes(df: DataFrame) -> DataFrame:
     """Box-plot numbers per source: quartiles, fences and rows beyond them."""
     counts = length_counts(df, "source")
-    quartiles = counts.groupBy("source").agg(
-        F.percentile("text_len", [0.25, 0.5, 0.75], F.col("rows")).alias("_q")
-    ).select("source", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
-    spread = 1.5 * (F.col("q3") - F.col("q1"))
-    outside = (F.col("text_len") < F.col("q1") - spread) | (F.col("text_len") > F.col("q3") + spread)
     return (
-        counts.join(quartiles, "source")
+        counts.join(_quartiles(counts), "source")
         .groupBy("source", "q1", "median", "q3")
         .agg(
-            F.min(F.when(~outside, F.col("text_len"))).alias("lower_fence"),
-            F.max(F.when(~outside, F.col("text_len"))).alias("upper_fence"),
-            F.coalesce(F.sum(F.when(outside, F.col("rows"))), F.lit(0)).alias("outliers"),
+            F.min(F.when(~_outside(), F.col("text_len"))).alias("lower_fence"),
+            F.max(F.when(~_outside(), F.col("text_len"))).alias("upper_fence"),
+            F.coalesce(F.sum(F.when(_outside(), F.col("rows"))), F.lit(0)).alias("outliers"),
         )
         .orderBy("source")
     )
 
 
+def length_outliers(df: DataFrame) -> DataFrame:
+    """Rows whose text length lies beyond the fences of their source."""
+    quartiles = small_side(_quartiles(length_counts(df, "source")))
+    return prepare_corpus(df).join(quartiles, "source").where(_outside()).drop("q1", "median", "q3")
+
+
 def tokens(df: DataFrame, stopwords: Iterable[str] = (), *by: str) -> DataFrame:
     """One row per token occurrence, without stopwords."""
     rows = df.select(*by, F.explode(corpus_tokens(prepare.string_or(df, "text", ""))).alias("token"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 
 from textloom.functions import patterns as P
 from textloom.functions.numbers import count_where, pct, to_double
-from textloom.functions.text import strip
+from textloom.functions.text import ngrams, strip
 from textloom.operators import prepare
 from textloom.operators.frames import as_map, side_by_side
 
@@ -30,6 +31,8 @@ DEFAULT_KEYWORDS = {
 CONFIDENCE_THRESHOLD = 0.7
 BATCH_SIZE = 16
 
+_WORDS = re.compile(r"\w+")
+
 Scorer = Callable[[list[str], list[str]], list[tuple[str, float]]]
 
 
@@ -39,10 +42,20 @@ def candidate_labels(classes: Sequence[str], review_label: str = prepare.REVIEW_
     return list(dict.fromkeys(name for name in stripped if name))
 
 
-def keyword_hits(text: Column, keywords: Sequence[str]) -> Column:
-    """Whole-word, case-insensitive occurrences of any of the keywords."""
-    longest_first = tuple(sorted(keywords, key=len, reverse=True))
-    return F.regexp_count(text, F.lit(rf"(?iu)(?<!{P.WORD})(?:{P.any_of(longest_first)})(?!{P.WORD})"))
+def keyword_hits(tokens: Column, keywords: Sequence[str]) -> Column:
+    """Whole-word, case-insensitive occurrences of the keywords among the lower-case words.
+
+    A keyword of several words counts where its words follow each other.
+    """
+    phrases: dict[int, set[str]] = {}
+    for keyword in keywords:
+        words = _WORDS.findall(keyword.lower())
+        if words:
+            phrases.setdefault(len(words), set()).add(" ".join(words))
+    hits = F.lit(0)
+    for length, wanted in sorted(phrases.items()):
+        hits = hits + F.size(F.filter(ngrams(tokens, length, length), lambda gram: gram.isin(sorted(wanted))))
+    return hits
 
 
 def auto_label(
@@ -58,13 +71,14 @@ def auto_label(
     """
     df = prepare.prepare_annotation(df, order_by)
     names = list(keywords)
-    hits = F.array(*[keyword_hits(F.col("text"), keywords[name]) for name in names])
+    hits = F.array(*[keyword_hits(F.col("_words"), keywords[name]) for name in names])
     best = F.array_max("_hits")
     total = F.aggregate("_hits", F.lit(0), lambda left, right: left + right)
     found = best > 0
     winner = F.element_at(F.array(*[F.lit(name) for name in names]), F.array_position("_hits", best).cast("int"))
     return (
-        df.withColumn("_hits", hits)
+        df.withColumn("_words", F.regexp_extract_all(F.lower("text"), F.lit(f"{P.WORD}+"), F.lit(0)))
+        .withColumn("_hits", hits)
         .withColumns(
             {
                 "label": F.when(found, winner).otherwise(F.lit(review_label)),
@@ -72,7 +86,7 @@ def auto_label(
                 "label_source": F.when(found, F.lit("keyword")).otherwise(F.lit(prepare.FALLBACK)),
             }
         )
-        .drop("_hits")
+        .drop("_words", "_hits")
     )
 
 

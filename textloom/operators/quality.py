@@ -128,8 +128,9 @@ def detect_issues(
     order_by: list[str],
     words: tuple[str, ...] = P.ARTIFACT_WORDS,
     threshold: float = P.FUZZY_THRESHOLD,
+    fuzzy: bool = True,
 ) -> DataFrame:
-    """The quality report as one row.
+    """The quality report as one row; without ``fuzzy`` near duplicates are not looked for.
 
     Each part is an aggregate of one row; the parts meet in a union and a final aggregate, so
     no part is joined to another.
@@ -140,14 +141,17 @@ def detect_issues(
         ready.agg(*issue_counts(words)),
         missing_cells(df),
         artifact_hits(ready, words),
-        find_fuzzy_duplicates(df, order_by, threshold).agg(F.count("*").alias("fuzzy_pairs")),
         imbalance_ratio(labels),
         labels.agg(F.map_from_entries(F.collect_list(F.struct("label", "rows"))).alias("label_distribution")),
         markup_examples(df, order_by).agg(
             F.array_sort(F.collect_list(F.struct(*order_by, "text")))["text"].alias("html_examples")
         ),
     ]
+    if fuzzy:
+        parts.append(find_fuzzy_duplicates(df, order_by, threshold).agg(F.count("*").alias("fuzzy_pairs")))
     report = side_by_side(parts)
+    if not fuzzy:
+        report = report.withColumn("fuzzy_pairs", F.lit(0).cast("bigint"))
     total = F.col("total_rows")
     issues = ["missing_count", "duplicates", "fuzzy_pairs", "short_texts", "long_texts", "html_entities", "html_artifacts"]
     found = sum((F.when(F.col(name) > 0, 1).otherwise(0) for name in issues), F.lit(0))
