@@ -11,7 +11,7 @@ import math
 from dataclasses import dataclass
 
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.text import model_tokens, ngrams
@@ -91,6 +91,13 @@ def fit_tfidf(df: DataFrame, config: TfidfConfig = MODEL_TFIDF, text_col: str =
     )
 
 
+def _unit_length(weights: Column) -> Column:
+    """The array scaled to length one. The norm is repeated into an array, because as a plain
+    value the optimiser would move its computation into the loop over the elements."""
+    norm = F.sqrt(F.aggregate(weights, F.lit(0.0), lambda total, w: total + w * w))
+    return F.zip_with(weights, F.array_repeat(norm, F.size(weights)), lambda w, length: w / length)
+
+
 def transform_tfidf(df: DataFrame, model: TfidfModel, text_col: str = "text", name: str = "features") -> DataFrame:
     """Add the L2-normalised weights of every row as parallel arrays ``indices, weights``."""
     if not model.terms:
@@ -106,15 +113,8 @@ def transform_tfidf(df: DataFrame, model: TfidfModel, text_col: str = "text", na
     return (
         counted.withColumn("_indices", raw["indices"])
         .withColumn("_weights", F.zip_with("_indices", raw["values"], lambda index, tf: damp(tf) * F.get(idf, index)))
-        .withColumn("_norm", F.sqrt(F.aggregate("_weights", F.lit(0.0), lambda total, w: total + w * w)))
-        .withColumn(
-            name,
-            F.struct(
-                F.col("_indices").alias("indices"),
-                F.transform("_weights", lambda w: w / F.col("_norm")).alias("weights"),
-            ),
-        )
-        .drop("_terms", "_tf", "_indices", "_weights", "_norm")
+        .withColumn(name, F.struct(F.col("_indices").alias("indices"), _unit_length(F.col("_weights")).alias("weights")))
+        .drop("_terms", "_tf", "_indices", "_weights")
     )
 
 
