@@ -16,7 +16,7 @@ from textloom.plans import sql as S
 from textloom.plans.catalog import corpus, query, spread, table
 
 TOPIC = "sailing and yacht navigation"
-STOPWORDS = report_stopwords(TOPIC, ["sailing_and_yacht_navigation_basics"])
+STOPWORDS = report_stopwords(TOPIC)
 
 _PER_SOURCE = f"""SELECT source, count(*) AS rows, round(sum(length(text)) / count(*), 2) AS avg_len,
  min(length(text)) AS min_len, max(length(text)) AS max_len,
