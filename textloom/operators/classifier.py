@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -25,6 +26,9 @@ from textloom.operators.tfidf import (
 from textloom.plans.session import staged
 
 
+_ROWS_PER_TASK = 500
+
+
 class NotTrainable(ValueError):
     """The rows do not allow training; the message says why."""
 
@@ -50,7 +54,9 @@ class TextClassifier:
         total = sum(counts.values())
         weights = [total / (len(labels) * counts[label]) if self.balanced else 1.0 for label in labels]
         place = F.array_position(F.array(*map(F.lit, labels)), F.col("_label")).cast("int")
-        rows = transform_tfidf(df.select(text_col, F.col(label_col).alias("_label")), tfidf, text_col).select(
+        # Every pass runs one task per partition; a small training set needs only a few.
+        source = df.select(text_col, F.col(label_col).alias("_label")).coalesce(max(1, math.ceil(total / _ROWS_PER_TASK)))
+        rows = transform_tfidf(source, tfidf, text_col).select(
             "features",
             (place - 1).alias("target"),
             F.element_at(F.array(*map(F.lit, weights)), place).alias("weight"),

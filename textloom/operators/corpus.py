@@ -179,17 +179,30 @@ def dataset_summary(df: DataFrame, global_terms: int = 15, source_terms: int = 8
     """Summary of a dataset as one row; it holds counts and words, never texts."""
     ready = prepare_corpus(df)
     length = F.col("text_len")
-    total = F.count("*")
-    numbers = ready.agg(
-        total.alias("total_rows"),
-        F.coalesce(F.round(F.sum(length) / F.nullif(total, F.lit(0)), 2), F.lit(0.0)).alias("avg_text_len"),
-        F.coalesce(F.min(length), F.lit(0)).alias("min_text_len"),
-        F.coalesce(F.max(length), F.lit(0)).alias("max_text_len"),
-        pct(count_where(length < P.SHORT_TEXT_MIN), total).alias("pct_short_texts"),
-        pct(count_where(length > P.SUMMARY_LONG_MIN), total).alias("pct_long_texts"),
-        F.coalesce(F.sum(entity_count(F.col("text"))), F.lit(0)).alias("html_entity_count"),
+    sources = small_side(
+        ready.groupBy("source").agg(
+            F.count("*").alias("rows"),
+            F.sum(length).alias("_chars"),
+            F.min(length).alias("_min"),
+            F.max(length).alias("_max"),
+            count_where(length < P.SHORT_TEXT_MIN).alias("_short"),
+            count_where(length > P.SUMMARY_LONG_MIN).alias("_long"),
+            F.sum(entity_count(F.col("text"))).alias("_entities"),
+        )
+    )
+
+    def total(name: str, combine=F.sum) -> Column:
+        return F.coalesce(combine(name), F.lit(0))
+
+    numbers = sources.agg(
+        total("rows").alias("total_rows"),
+        F.coalesce(F.round(F.sum("_chars") / F.sum("rows"), 2), F.lit(0.0)).alias("avg_text_len"),
+        total("_min", F.min).alias("min_text_len"),
+        total("_max", F.max).alias("max_text_len"),
+        pct(total("_short"), total("rows")).alias("pct_short_texts"),
+        pct(total("_long"), total("rows")).alias("pct_long_texts"),
+        total("_entities").alias("html_entity_count"),
     )
-    sources = ready.groupBy("source").agg(F.count("*").alias("rows"))
     # Both rankings start from the counts per source and token, which Spark exchanges once.
     by_source = token_counts(ready, SUMMARY, "source")
     overall = by_source.groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(global_terms)

@@ -16,6 +16,7 @@ from textloom.functions.numbers import count_where, pct, to_double
 from textloom.functions.text import ngrams, strip
 from textloom.operators import prepare
 from textloom.operators.frames import as_map, side_by_side
+from textloom.plans.session import small_side
 
 log = logging.getLogger(__name__)
 
@@ -172,22 +173,33 @@ def annotation_quality(
     queue: DataFrame | None = None,
 ) -> DataFrame:
     """Annotation report as one row; with a review queue it includes the agreement."""
-    df = prepare.prepare_labeled(df, review_label)
-    low = count_where(F.col("confidence") < threshold)
-    total = F.count("*")
+    # One pass: everything below derives from one row per label and label source.
+    confidence = F.col("confidence")
+    groups = small_side(
+        prepare.prepare_labeled(df, review_label).groupBy("label", "label_source").agg(
+            F.count("*").alias("rows"),
+            F.sum(confidence).alias("_sum"),
+            F.sum(confidence * confidence).alias("_squares"),
+            count_where(confidence < threshold).alias("_low"),
+        )
+    )
+    rows = F.sum("rows")
+    total, low = F.coalesce(rows, F.lit(0)), F.coalesce(F.sum("_low"), F.lit(0))
+    mean = F.sum("_sum") / rows
+    spread = F.sqrt(F.greatest(F.sum("_squares") / rows - mean * mean, F.lit(0.0)))
     parts = [
-        df.agg(
+        groups.agg(
             total.alias("total_labeled"),
-            F.coalesce(F.round(F.avg("confidence"), 4), F.lit(0.0)).alias("confidence_mean"),
-            F.coalesce(F.round(F.stddev_pop("confidence"), 4), F.lit(0.0)).alias("confidence_std"),
+            F.coalesce(F.round(mean, 4), F.lit(0.0)).alias("confidence_mean"),
+            F.coalesce(F.round(spread, 4), F.lit(0.0)).alias("confidence_std"),
             low.alias("low_confidence_count"),
             pct(low, total).alias("low_confidence_pct"),
-            count_where(F.col("confidence") >= threshold).alias("high_confidence_count"),
-            count_where(F.col("label") == review_label).alias("review_label_count"),
+            (total - low).alias("high_confidence_count"),
+            F.coalesce(F.sum(F.when(F.col("label") == review_label, F.col("rows"))), F.lit(0)).alias("review_label_count"),
         )
     ]
     for column in ("label", "label_source"):
-        counts = df.groupBy(column).agg(F.count("*").alias("rows"))
+        counts = groups.groupBy(column).agg(F.sum("rows").alias("rows"))
         parts.append(as_map(counts, column, "rows", f"{column}_distribution"))
     if queue is not None:
         parts.append(kappa(df, queue))
@@ -218,7 +230,7 @@ def kappa(annotated: DataFrame, queue: DataFrame) -> DataFrame:
 
     Null below two joined rows, and where chance agreement is perfect.
     """
-    counts = agreement_counts(annotated, queue)
+    counts = small_side(agreement_counts(annotated, queue))
     sides = counts.select(F.col("label").alias("name"), F.col("rows").alias("auto"), F.lit(0).cast("bigint").alias("human")).unionAll(
         counts.select(F.col("corrected_label").alias("name"), F.lit(0).cast("bigint").alias("auto"), F.col("rows").alias("human"))
     )
@@ -320,7 +332,7 @@ def retraining_rows(annotated: DataFrame, queue: DataFrame, mode: str = "append"
     """
     corrected = corrected_rows(queue, strip_first=True)
     if mode == "override":
-        ids = corrected.select(F.col("id").cast("string").alias("_id")).distinct()
+        ids = small_side(corrected.select(F.col("id").cast("string").alias("_id")).distinct())
         annotated = annotated.join(ids, F.col("id").cast("string") == F.col("_id"), "left_anti")
     elif mode != "append":
         raise ValueError(f"mode must be 'append' or 'override', got {mode!r}")

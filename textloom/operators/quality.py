@@ -25,7 +25,7 @@ from textloom.operators.dedup import (
     keep_first,
     with_position,
 )
-from textloom.operators.frames import side_by_side
+from textloom.operators.frames import as_map, side_by_side
 
 # The default cleaning strategy.
 DEFAULT_STRATEGY = {
@@ -54,34 +54,49 @@ def issue_counts(words: tuple[str, ...] = P.ARTIFACT_WORDS) -> list[Column]:
     ]
 
 
+def _missing_counts(df: DataFrame) -> list[Column]:
+    """Aggregates: null cells per column, as ``_missing<i>``. NaN counts as null."""
+    kinds = dict(df.dtypes)
+
+    def absent(name: str) -> Column:
+        cell = F.col(f"`{name}`")
+        return cell.isNull() | F.isnan(cell) if kinds[name] in ("float", "double") else cell.isNull()
+
+    return [count_where(absent(name)).alias(f"_missing{i}") for i, name in enumerate(df.columns)]
+
+
+def _missing_summary(names: list[str]) -> list[Column]:
+    counts = [F.col(f"_missing{i}") for i in range(len(names))]
+    hit = F.array(*[F.when(count > 0, F.lit(name)) for count, name in zip(counts, names)])
+    return [
+        sum(counts, F.lit(0)).cast("bigint").alias("missing_count"),
+        F.array_compact(hit).alias("missing_columns"),
+    ]
+
+
 def missing_cells(df: DataFrame) -> DataFrame:
     """One row: null cells in total, and the names of columns that hold any.
 
     Text is made non-null first, so it never counts.
     """
     df = prepare.prepare_quality(df)
-    floats = {name for name, kind in df.dtypes if kind in ("float", "double")}
+    return df.agg(*_missing_counts(df)).select(*_missing_summary(df.columns))
 
-    def absent(name: str) -> Column:
-        cell = F.col(f"`{name}`")
-        return cell.isNull() | F.isnan(cell) if name in floats else cell.isNull()
-
-    counts = df.agg(*[count_where(absent(name)).alias(name) for name in df.columns])
-    return counts.select(
-        sum((F.col(f"`{name}`") for name in df.columns), F.lit(0)).cast("bigint").alias("missing_count"),
-        F.filter(
-            F.array(*[F.when(F.col(f"`{name}`") > 0, F.lit(name)) for name in df.columns]),
-            lambda name: name.isNotNull(),
-        ).alias("missing_columns"),
-    )
+
+def _word_flags(words: tuple[str, ...]) -> list[Column]:
+    """Aggregates: does each artifact word occur anywhere, as ``_word<i>``."""
+    lower = F.lower(F.col("text"))
+    return [F.max(F.contains(lower, F.lit(word))).alias(f"_word{i}") for i, word in enumerate(words)]
+
+
+def _words_seen(words: tuple[str, ...]) -> Column:
+    hits = [F.when(F.col(f"_word{i}"), F.lit(word)) for i, word in enumerate(words)]
+    return F.array_sort(F.array_compact(F.array(*hits).cast("array<string>"))).alias("patterns")
 
 
 def artifact_hits(df: DataFrame, words: tuple[str, ...] = P.ARTIFACT_WORDS) -> DataFrame:
     """One row: the artifact words that occur anywhere, sorted and distinct."""
-    lower = F.lower(prepare.string_or(df, "text", ""))
-    seen = df.agg(*[F.max(F.contains(lower, F.lit(word))).alias(f"w{i}") for i, word in enumerate(words)])
-    hits = F.array(*[F.when(F.col(f"w{i}"), F.lit(word)) for i, word in enumerate(words)])
-    return seen.select(F.array_sort(F.array_compact(hits)).alias("patterns"))
+    return prepare.prepare_quality(df).agg(*_word_flags(words)).select(_words_seen(words))
 
 
 def label_distribution(df: DataFrame, column: str = "label", default: str = "") -> DataFrame:
@@ -132,17 +147,17 @@ def detect_issues(
 ) -> DataFrame:
     """The quality report as one row; without ``fuzzy`` near duplicates are not looked for.
 
-    Each part is an aggregate of one row; the parts meet in a union and a final aggregate, so
-    no part is joined to another.
+    All counts over the texts come from one aggregate. The other parts are aggregates of one
+    row as well; they meet in a union and a final aggregate, so no part is joined to another.
     """
     ready = prepare.prepare_quality(df)
     labels = label_distribution(ready)
+    counts = ready.agg(*issue_counts(words), *_missing_counts(ready), *_word_flags(words))
+    kept = [name for name in counts.columns if not name.startswith("_")]
     parts = [
-        ready.agg(*issue_counts(words)),
-        missing_cells(df),
-        artifact_hits(ready, words),
+        counts.select(*kept, *_missing_summary(ready.columns), _words_seen(words)),
         imbalance_ratio(labels),
-        labels.agg(F.map_from_entries(F.collect_list(F.struct("label", "rows"))).alias("label_distribution")),
+        as_map(labels, "label", "rows", "label_distribution"),
         markup_examples(df, order_by).agg(
             F.array_sort(F.collect_list(F.struct(*order_by, "text")))["text"].alias("html_examples")
         ),
@@ -215,7 +230,10 @@ def clean(
 def compare(
     before: DataFrame, after: DataFrame, order_by: list[str], threshold: float = P.FUZZY_THRESHOLD
 ) -> DataFrame:
-    """One row with the main quality counts on both sides of the cleaning."""
+    """One row with the main quality counts on both sides of the cleaning.
+
+    Each side is read twice; pass ``after`` as a written table, not as the cleaning itself.
+    """
 
     def side(df: DataFrame, suffix: str) -> list[DataFrame]:
         counts = prepare.prepare_quality(df).agg(*issue_counts())

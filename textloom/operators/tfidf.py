@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import math
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
@@ -40,6 +41,11 @@ class TfidfModel:
     idf: tuple[float, ...]
     documents: int
 
+    @cached_property
+    def counter(self) -> CountVectorizerModel:
+        """Term counts of a token array. Handing the vocabulary to the JVM is slow: done once."""
+        return CountVectorizerModel.from_vocabulary(list(self.terms), inputCol="_terms", outputCol="_tf")
+
 
 def with_terms(df: DataFrame, config: TfidfConfig, text_col: str = "text", name: str = "_terms") -> DataFrame:
     tokens = model_tokens(F.coalesce(F.col(text_col), F.lit("")))
@@ -103,9 +109,7 @@ def transform_tfidf(df: DataFrame, model: TfidfModel, text_col: str = "text", na
     if not model.terms:
         empty = F.struct(F.array().cast("array<int>").alias("indices"), F.array().cast("array<double>").alias("weights"))
         return df.withColumn(name, empty)
-    counted = CountVectorizerModel.from_vocabulary(list(model.terms), inputCol="_terms", outputCol="_tf").transform(
-        with_terms(df, model.config, text_col)
-    )
+    counted = model.counter.transform(with_terms(df, model.config, text_col))
     # A constant array: parsed once by the optimiser, then indexed in place.
     idf = F.from_json(F.lit(json.dumps(model.idf)), "array<double>")
     damp = (lambda tf: 1.0 + F.log(tf)) if model.config.sublinear else (lambda tf: tf)

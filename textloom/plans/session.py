@@ -51,10 +51,10 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The join side to use for a table that is expected, but not certain, to be small.
+    """A table that is expected, but not certain, to be small: a join side or a report's groups.
 
-    Up to ``max_rows`` rows it becomes a broadcast local table, computed once. Beyond that the
-    frame is returned as it is, and the join shuffles.
+    Up to ``max_rows`` rows it becomes a local table, computed once however often it is used,
+    and marked for broadcast. Beyond that the frame is returned as it is, and joins shuffle.
     """
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:

@@ -9,7 +9,7 @@ from textloom.functions.source_names import feed_display_name, url_host
 from textloom.operators import prepare, quality
 from textloom.plans import sql as S
 from textloom.plans.catalog import corpus, query, spread, table
-from textloom.plans.session import stage_path
+from textloom.plans.session import stage_path, staged
 from textloom.plans.stages import annotated, queue
 from textloom.sources import ingest, sinks
 
@@ -204,7 +204,8 @@ def quality_metric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Before/after metrics written as JSON and read back."""
     before = corpus(spark, sf_dir)
     path = stage_path(spark, "metrics")
-    rows = quality.metric_rows(quality.compare(before, quality.clean(before, ["doc_id"]), ["doc_id"]))
+    after = staged(quality.clean(before, ["doc_id"]), "clean")
+    rows = staged(quality.metric_rows(quality.compare(before, after, ["doc_id"])), "comparison")
     sinks.write_metrics(rows, path)
     return spark.read.schema(rows.schema).json(path)
 

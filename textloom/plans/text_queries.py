@@ -13,6 +13,7 @@ from textloom.operators import dedup, prepare, quality
 from textloom.operators.frames import tags_union
 from textloom.plans import sql as S
 from textloom.plans.catalog import corpus, query, spread, table
+from textloom.plans.session import staged
 from textloom.plans.stages import annotated_table, queue
 
 
@@ -371,4 +372,4 @@ def label_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality before and after cleaning."""
     before = corpus(spark, sf_dir)
-    return quality.compare(before, quality.clean(before, ["doc_id"]), ["doc_id"])
+    return quality.compare(before, staged(quality.clean(before, ["doc_id"]), "clean"), ["doc_id"])
