@@ -12,6 +12,8 @@ from textloom.functions.text import collection_key
 from textloom.operators import corpus as C
 from textloom.operators import prepare
 from textloom.operators.dedup import keep_first
+from textloom.operators.frames import tags_union
+from textloom.plans import flow
 from textloom.plans import sql as S
 from textloom.plans.catalog import corpus, query, spread, table
 
@@ -56,6 +58,14 @@ def source_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.source_distribution(corpus(spark, sf_dir))
 
 
+@query()
+def corpus_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every table of the corpus report."""
+    tables = flow.corpus_report(corpus(spark, sf_dir), TOPIC)
+    counts = [(name, frame.agg(F.count("*").alias("rows"))) for name, frame in tables.items()]
+    return tags_union(counts, "name")
+
+
 @query(f"""WITH c AS ({S.CORPUS}), t AS (SELECT count(*) FILTER (WHERE {S.THEMATIC}) AS a, count(*) AS n FROM c)
  SELECT a AS thematic_rows, n - a AS off_topic_rows, {S.pct('a', 'n')} AS thematic_pct, {S.pct('n - a', 'n')} AS off_topic_pct FROM t""")
 def thematic_split(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 from textloom.functions import patterns as P
 from textloom.operators import active, classifier, labelling, metrics, split, tfidf
-from textloom.operators.frames import tags_union
+from textloom.operators.frames import side_by_side, tags_union
+from textloom.plans import flow
 from textloom.plans import sql as S
 from textloom.plans.catalog import KEYWORDS, corpus, query, spread, table
 from textloom.plans.session import small_side, stage_path, staged
 from textloom.plans.stages import annotated_table, queue
+from textloom.sources import ingest
 
 
 def _tfidf_sql(bigrams: bool, sublinear: bool, limit: int) -> str:
@@ -206,6 +208,20 @@ def reviewed_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.train_or_skip(merged).metrics
 
 
+@query()
+def curation_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole run over three tables, from collection to the trained model: progress and scores."""
+    documents = corpus(spark, sf_dir).select("text", "source", F.col("doc_id").alias("place"))
+    turns = table(spark, sf_dir, "conversations").select(
+        "text", F.concat(F.lit("chat_"), "role").alias("source"), (F.col("conv_id") * 1000 + F.col("turn")).alias("place")
+    )
+    items = table(spark, sf_dir, "benchmark").select("text", F.lit("benchmark").alias("source"), F.col("item_id").alias("place"))
+    sources = {name: ingest.stamp(rows, F.col("source")) for name, rows in (("documents", documents), ("turns", turns), ("items", items))}
+    at = flow.Workspace(stage_path(spark, "run"))
+    result = flow.run(spark, sources, at, KEYWORDS, skip_learning=True, order_by=["place"])
+    return side_by_side([result.progress, result.training.metrics])
+
+
 @query("SELECT 0.0::DOUBLE AS accuracy, 0.0::DOUBLE AS f1_macro, 0::BIGINT AS n_train, 'Need at least 2 classes with >=2 samples for training' AS reason FROM (SELECT count(*) FROM documents WHERE lang = 'en')")
 def training_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A single class cannot be trained: zero metrics and the reason."""
