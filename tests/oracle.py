@@ -25,7 +25,7 @@ def connect(sf_dir: str):
 
 def _cell(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else repr(round(value, 9) + 0.0)
+        return "nan" if math.isnan(value) else repr(value + 0.0)
     return value
 
 
@@ -34,8 +34,7 @@ def _rows(columns, rows):
     return Counter(tuple(_cell(row[i]) for i in order) for row in rows)
 
 
-_KINDS = {"BIGINT": "int", "INTEGER": "int", "HUGEINT": "huge", "DOUBLE": "float", "VARCHAR": "str", "BOOLEAN": "bool"}
-_SPARK_KINDS = {"bigint": "int", "int": "int", "double": "float", "string": "str", "boolean": "bool"}
+_KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def compare(spark, con, name: str, sf_dir: str) -> str:
@@ -52,7 +51,7 @@ def compare(spark, con, name: str, sf_dir: str) -> str:
         return f"columns {sorted(frame.columns)} != {sorted(columns)}"
     spark_kinds = dict(frame.dtypes)
     for column, kind in zip(columns, kinds):
-        if kind != '"NULL"' and _KINDS.get(kind, kind) != _SPARK_KINDS.get(spark_kinds[column], spark_kinds[column]):
+        if kind != _KINDS.get(spark_kinds[column]):
             return f"type of {column}: {spark_kinds[column]} != {kind}"
     left, right = _rows(frame.columns, got), _rows(columns, want)
     if left != right:
