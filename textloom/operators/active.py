@@ -162,31 +162,21 @@ def compare_strategies(
 def strategy_summary(history: DataFrame) -> DataFrame:
     """Per strategy: final F1, first size that reaches 90 % of the best final F1, rows saved
     against random, and whether it is the best one (earlier strategies win ties)."""
-    order = F.array_position(F.array(*[F.lit(name) for name in STRATEGIES]), F.col("strategy"))
-    finals = history.groupBy("strategy").agg(F.max_by("f1_macro", "iteration").alias("final_f1"))
-    # One row per strategy.
-    best = small_side(
-        finals.agg(
-            F.max("final_f1").alias("best_f1"),
-            F.min_by("strategy", F.struct(-F.col("final_f1"), order)).alias("best_strategy"),
-            F.lit(1).alias("one"),
-        )
+    order = F.array_position(F.array(*map(F.lit, STRATEGIES)), F.col("strategy"))
+    finals = small_side(history.groupBy("strategy").agg(F.max_by("f1_macro", "iteration").alias("final_f1")))
+    best = finals.agg(
+        F.max("final_f1").alias("f1"), F.min_by("strategy", F.struct(-F.col("final_f1"), order)).alias("strategy")
+    ).first()
+    enough = F.col("f1_macro") >= F.lit(0.9) * F.lit(best["f1"])
+    reached = small_side(
+        history.groupBy("strategy").agg(F.min_by("n_labeled", F.when(enough, F.col("iteration"))).alias("n_at_90"))
     )
-    reached = (
-        history.join(finals, "strategy").withColumn("one", F.lit(1)).join(best, "one")
-        .groupBy("strategy", "final_f1", "best_strategy")
-        .agg(F.min_by("n_labeled", F.when(F.col("f1_macro") >= 0.9 * F.col("best_f1"), F.col("iteration"))).alias("n_at_90"))
-    )
-    random = small_side(
-        reached.where("strategy = 'random'").select(F.col("n_at_90").alias("random_n"), F.lit(1).alias("one"))
-    )
-    return (
-        reached.withColumn("one", F.lit(1)).join(random, "one", "left")
-        .select(
-            "strategy",
-            "final_f1",
-            "n_at_90",
-            (F.col("random_n") - F.col("n_at_90")).alias("saved_vs_random"),
-            (F.col("strategy") == F.col("best_strategy")).alias("is_best"),
-        )
+    random = reached.where("strategy = 'random'").first()
+    random_n = F.lit(None if random is None else random["n_at_90"]).cast("bigint")
+    return finals.join(reached, "strategy").select(
+        "strategy",
+        "final_f1",
+        "n_at_90",
+        (random_n - F.col("n_at_90")).alias("saved_vs_random"),
+        (F.col("strategy") == F.lit(best["strategy"])).alias("is_best"),
     )

@@ -364,8 +364,7 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def label_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per label and the imbalance ratio."""
     counts = quality.label_distribution(corpus(spark, sf_dir))
-    ratio = quality.imbalance_ratio(counts).withColumn("_one", F.lit(1))
-    return counts.withColumn("_one", F.lit(1)).join(F.broadcast(ratio), "_one").drop("_one")
+    return counts.withColumn("imbalance_ratio", F.lit(quality.imbalance_ratio(counts).first()[0]))
 
 
 @query()
