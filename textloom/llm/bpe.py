@@ -32,7 +32,7 @@ from textloom.llm import worker
 # Fixed value: the word pattern of byte-level pre-tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: What a worker remembers of words and their tokens before it starts anew.
-CACHE_WORDS, CACHE_TOKENS = 1_500_000, 8_000_000
+CACHE_WORDS, CACHE_TOKENS = 600_000, 3_000_000
 _FAR = np.int64(1) << 40
 
 
@@ -43,10 +43,9 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def load(path: str) -> dict:
-    """Plain tables of a tokenizer file, read on the driver: small enough to send to every worker."""
-    with open(path, encoding="utf-8") as file:
-        spec = json.load(file)
+def tables_of(file: str) -> dict:
+    """Plain tables of a tokenizer file's content."""
+    spec = json.loads(file)
     model, pre = spec["model"], spec["pre_tokenizer"]
     plain = not (spec["normalizer"] or model["end_of_word_suffix"] or model["continuing_subword_prefix"] or model["dropout"])
     if model["type"] != "BPE" or pre["type"] != "ByteLevel" or pre["add_prefix_space"] or not plain:
@@ -59,6 +58,14 @@ def load(path: str) -> dict:
     }
 
 
+def _token_texts(tables: dict) -> dict[int, bytes]:
+    return {i: w for w, i in tables["vocabulary"].items()} | {i: w.encode() for w, i in tables["added"].items()}
+
+
+def _decode(text_of: dict[int, bytes], ids: list[int]) -> str:
+    return b"".join([text_of.get(i, b"") for i in ids]).decode("utf-8", "replace")
+
+
 class Pieces:
     """Remembered token lists, by code: flat ids with a start and a count for each code."""
 
@@ -111,7 +118,7 @@ class Codec:
         self._build_trie([(w, i) for i, w in enumerate(names) if whole[i]])
         self.added = tables["added"]
         self.added_pattern = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
-        self.text_of = {i: w for w, i in vocabulary.items()} | {i: w.encode() for w, i in self.added.items()}
+        self.text_of = _token_texts(tables)
         self.pattern = regex.compile(PATTERN)
 
     def _forget(self) -> None:
@@ -358,43 +365,53 @@ class Codec:
 
     def decode(self, ids: list[int]) -> str:
         """Text of the tokens; bytes that are no UTF-8 become U+FFFD, unknown ids nothing."""
-        return b"".join([self.text_of.get(i, b"") for i in ids]).decode("utf-8", "replace")
+        return _decode(self.text_of, ids)
 
 
-def _sent(spark: SparkSession, path: str) -> Callable[[], Codec]:
-    """A function that gives the codec inside tasks; the file is read here and sent along."""
-    tables = spark.sparkContext.broadcast(load(path))
-    digest = hashlib.sha256(repr(tables.value).encode()).hexdigest()
-    return lambda: worker.kept(("bpe", digest), lambda: Codec(tables.value))
+def _sent(spark: SparkSession, path: str, build: Callable[[dict], object]) -> Callable:
+    """A function that gives what ``build`` makes of the tokenizer inside tasks. The file is read
+    here and sent along: it is as small as a vocabulary, and executors may not see the path."""
+    with open(path, encoding="utf-8") as file:
+        content = file.read()
+    tables_of(content)  # an unfit file fails here
+    sent = spark.sparkContext.broadcast(content)
+    key = (build.__name__, hashlib.sha256(content.encode()).hexdigest())
+    return lambda: worker.kept(key, lambda: build(tables_of(sent.value)))
 
 
-def encode(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key`` and ``ids`` (array of int): the tokens of each whole text."""
-    codec_here = _sent(df.sparkSession, tokenizer)
+def encode(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", decoded: str | None = None) -> DataFrame:
+    """``key`` and ``ids`` (array of int): the tokens of each whole text; with ``decoded``, one more
+    column of that name with the text that these tokens decode to, made in the same pass."""
+    codec_here = _sent(df.sparkSession, tokenizer, Codec)
     kind = df.schema[key].dataType
-    schema = T.StructType([T.StructField("key", kind), T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    fields = [T.StructField("key", kind), T.StructField("ids", T.ArrayType(T.IntegerType()))]
+    fields += [T.StructField("decoded", T.StringType())] if decoded else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_here()
         for batch in worker.slices(batches, "text"):
             ids, counts = codec.encode(worker.texts(batch, "text"))
             columns = [batch.column("key"), worker.lists(ids, counts, pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "ids"])
+            if decoded:
+                ends = np.cumsum(counts)
+                columns.append(pa.array([codec.decode(ids[a:b].tolist()) for a, b in zip(ends - counts, ends)], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
 
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, schema).withColumnRenamed("key", key)
+    found = rows.mapInArrow(run, T.StructType(fields)).withColumnRenamed("key", key)
+    return found.withColumnRenamed("decoded", decoded) if decoded else found
 
 
 def decode(df: DataFrame, tokenizer: str, ids: str = "ids", into: str = "text") -> DataFrame:
     """The frame with one more column: the text of ``ids``; null ids decode to an empty text."""
-    codec_here = _sent(df.sparkSession, tokenizer)
+    texts_here = _sent(df.sparkSession, tokenizer, _token_texts)
     others = [c for c in df.columns if c != into]
     schema = T.StructType([df.schema[c] for c in others] + [T.StructField(into, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_here()
+        text_of = texts_here()
         for batch in batches:
-            decoded = [codec.decode(x) if x else "" for x in batch.column(ids).to_pylist()]
+            decoded = [_decode(text_of, x) if x else "" for x in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.string())], names=[*others, into])
 
     return df.select(others).mapInArrow(run, schema)

@@ -34,9 +34,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of each document and the text they decode to, as digests."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    encoded = bpe.encode(_table(spark, sf_dir, "documents"), path)
+    encoded = bpe.encode(_table(spark, sf_dir, "documents"), path, decoded="decoded")
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return bpe.decode(encoded, path).select(
+    return encoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
-        F.sha2("text", 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
