@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe
+from textloom.llm import bpe, simhash, token_files
+from textloom.plans.session import stage_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -40,3 +41,20 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query()
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of each document."""
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+@query()
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the token files of all documents hold, read back from them."""
+    path = stage_path(spark, "tokens")
+    token_files.write(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    tokens = token_files.with_crc32(token_files.with_start(token_files.read(spark, path)))
+    return tokens.select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
