@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from textloom.llm import worker
 
 #: Words and tokens that a worker remembers before it starts anew.
-CACHE_WORDS, CACHE_TOKENS = 700_000, 4_000_000
+CACHE_WORDS, CACHE_TOKENS = 1_500_000, 8_000_000
 #: Bytes of a row group and of a page.
 ROW_GROUP, PAGE = 16 << 20, 256 << 10
 
@@ -54,16 +54,40 @@ class WordEncoder:
         self.start = self.count = np.zeros(0, dtype=np.int64)
         self.flat = np.zeros(0, dtype=np.int32)
 
+    def _put(self, words: list[bytes], flat: np.ndarray, count: np.ndarray) -> None:
+        first = len(self.start)
+        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(count) - count])
+        self.count = np.concatenate([self.count, count])
+        self.flat = np.concatenate([self.flat, flat])
+        self.code.update(zip(words, range(first, first + len(words))))
+
     def _learn(self, new: list[bytes]) -> None:
-        for k in range(0, len(new), 10_000):
-            part = new[k : k + 10_000]
+        """Ids of words not seen before.
+
+        The tokenizer lower-cases, and it cuts before a full stop or comma that follows an ASCII
+        letter or digit, so such words share the ids of what stands before; a word with "<|" may
+        be a special token and goes as it is.
+        """
+        closed = [w for w in new if w[-1:] in (b".", b",") and w[-2:-1].isalnum() and b"<|" not in w]
+        core = {w: w[:-1].lower() for w in closed}
+        for w in new:
+            if w not in core:
+                core[w] = w if b"<|" in w else w.lower()
+        unknown = [*{*core.values(), b".", b","}.difference(self.code)]
+        for k in range(0, len(unknown), 10_000):
+            part = unknown[k : k + 10_000]
             found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)]
             count = np.fromiter(map(len, found), np.int64, len(found))
-            first = len(self.start)
-            self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(count) - count])
-            self.count = np.concatenate([self.count, count])
-            self.flat = np.concatenate([self.flat, np.fromiter((i for ids in found for i in ids), np.int32, int(count.sum()))])
-            self.code.update(zip(part, range(first, first + len(part))))
+            self._put(part, np.fromiter((i for ids in found for i in ids), np.int32, int(count.sum())), count)
+        code = self.code
+        if closed:
+            both = np.array([[code[core[w]], code[w[-1:]]] for w in closed], dtype=np.int64).ravel()
+            width = self.count[both]
+            at = np.repeat(self.start[both] - np.cumsum(width) + width, width) + np.arange(int(width.sum()))
+            self._put(closed, self.flat[at], width.reshape(-1, 2).sum(axis=1))
+        for w in new:
+            if w not in code:
+                code[w] = code[core[w]]
 
     def encode(self, rows: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts, each closed by the end id, and the number of ids of each."""
