@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, simhash, token_files
+from textloom.llm import bpe, decontaminate, host_rules, simhash, token_files
 from textloom.plans.session import stage_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,72 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     token_files.write(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     tokens = token_files.with_crc32(token_files.with_start(token_files.read(spark, path)))
     return tokens.select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
+_BASE_COUNTS = r"""
+WITH words AS (SELECT doc_id, source, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, coalesce(text, '') AS t FROM documents),
+windows AS (
+  SELECT doc_id, p, list_slice(w, p, p + 4) AS five FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS p FROM words WHERE len(w) >= 5)
+),
+twice AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, five) AS n FROM windows) WHERE n > 1),
+inside AS (SELECT doc_id, count(DISTINCT p + k) AS n FROM twice, (SELECT unnest(range(5)) AS k) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM words)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+),
+counted AS (
+  SELECT words.doc_id, source, len(w) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(coalesce(lines.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(inside.n, 0) AS BIGINT) AS n_repeat_words
+  FROM words LEFT JOIN lines ON words.doc_id = lines.doc_id LEFT JOIN inside ON words.doc_id = inside.doc_id
+),
+ruled AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted),
+hosts AS (SELECT source, count(*) AS n, count(*) FILTER (WHERE base_failed) AS failed FROM ruled GROUP BY source),
+prior AS (
+  SELECT m, CASE WHEN coalesce(v, 0) = 0 THEN 10000.0 ELSE least(10000.0, greatest(1.0, m * (1 - m) / v - 1)) END AS strength
+  FROM (SELECT avg(failed / n) AS m, var_samp(failed / n) AS v FROM hosts)
+)
+"""
+
+
+@query(_BASE_COUNTS + """
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND (failed + m * strength) / (n + strength) < 0.5 AS kept
+FROM ruled JOIN hosts ON ruled.source IS NOT DISTINCT FROM hosts.source CROSS JOIN prior
+""")
+def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and the verdict of each document and its host."""
+    return host_rules.judge(_table(spark, sf_dir, "documents")).drop("host", "host_rate")
+
+
+@query(r"""
+WITH item_words AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+doc_words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(list_slice(w, p, p + n - 1), ' ') AS win
+  FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS p FROM item_words WHERE len(w) > 0)
+),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT doc_id, n, p, array_to_string(list_slice(w, p, p + n - 1), ' ') AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM doc_words, sizes WHERE len(w) >= n)
+),
+hits AS (SELECT doc_id, p, places.n, item_id FROM places JOIN windows ON places.win = windows.win AND places.n = windows.n),
+hit_words AS (SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM hits) GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS joined
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(a.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(b.n, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(joined, '')) AS items_sha256, a.n IS NOT NULL AS contaminated
+FROM doc_words d LEFT JOIN hit_words a ON d.doc_id = a.doc_id LEFT JOIN hit_items b ON d.doc_id = b.doc_id
+""")
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document inside passages of the benchmark, and the items they come from."""
+    found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
