@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, decontaminate, host_rules, simhash, token_files
+from textloom.llm import bpe, decontaminate, host_rules, simhash, token_files, toxicity, warc
 from textloom.plans.session import stage_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,26 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
     )
+
+
+@query()
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of each document by a model that has seen the labels of two thirds of the labelled keys."""
+    documents = _table(spark, sf_dir, "documents")
+    model = toxicity.train(documents, _table(spark, sf_dir, "labels").where(~toxicity.held_out()))
+    scored = toxicity.score(documents, model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes FROM pages),
+q AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS holder FROM p)
+SELECT page_id, payload_bytes, sha1(encode(html)) AS payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id < holder THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id < holder THEN holder END AS refers_to
+FROM q
+""")
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page's record as read back from the archives."""
+    records = warc.round_trip(spark, _table(spark, sf_dir, "pages"))
+    return records.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
