@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, decontaminate, host_rules, simhash, token_files, toxicity, warc
+from textloom.llm import bpe, decontaminate, host_rules, pii, simhash, token_files, toxicity, warc
 from textloom.plans.session import stage_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +150,18 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each page's record as read back from the archives."""
     records = warc.round_trip(spark, _table(spark, sf_dir, "pages"))
     return records.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in each document, as counts and offsets."""
+    found = pii.find(_table(spark, sf_dir, "documents"))
+    names = F.array(*map(F.lit, pii.KINDS))
+
+    def joined(spans):
+        one = F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string")))
+        return F.array_join(one, ",")
+
+    counts = [F.size(F.filter("base", lambda s: s["kind"] == i)).cast("long").alias(f"n_{name}") for i, name in enumerate(pii.KINDS)]
+    spans = F.sort_array(F.concat("base", "added"))
+    return found.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(spans).alias("spans"))

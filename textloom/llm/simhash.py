@@ -193,3 +193,13 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
     component = named.groupBy("root").agg(F.min("least").alias("component"))
     of_print = named.join(component, "root").select("fingerprint", "component")
     return prints.join(of_print, "fingerprint").select(key, "fingerprint", "component")
+
+
+def one_per_group(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3) -> DataFrame:
+    """The rows, all columns, whose key names their component; rows that repeat a key and its text are one.
+
+    Rows without a key belong to no group that could name them, so all of them stay."""
+    found = near_duplicates(df.where(F.col(key).isNotNull()), key, text, shingle, distance)
+    named = found.where(F.col(key) == F.col("component")).select(key).distinct()
+    kept = df.join(named, key, "left_semi").dropDuplicates([key, text])
+    return kept.select(*df.columns).unionByName(df.where(F.col(key).isNull()))

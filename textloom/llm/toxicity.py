@@ -35,12 +35,13 @@ _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 @dataclass(frozen=True)
 class Settings:
-    """Learning rate, its smoothing, the two penalties and the passes over the sample."""
+    """Learning rate, its smoothing, the two penalties, the rows a coordinate needs, and the passes."""
 
-    alpha: float = 0.3
+    alpha: float = 3.0
     beta: float = 1.0
-    l1: float = 1.0
-    l2: float = 1.0
+    l1: float = 1.2
+    l2: float = 0.1
+    least_rows: int = 4
     passes: int = 6
 
 
@@ -73,28 +74,30 @@ def distinct_features(rows: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def ftrl(rows: list[np.ndarray], labels: np.ndarray, settings: Settings) -> Model:
-    """Learn from rows of distinct coordinates in the given order."""
-    z, n = np.zeros(SPACE + 1), np.zeros(SPACE + 1)
-    a, b, l1, l2 = settings.alpha, settings.beta, settings.l1, settings.l2
-
-    def weights(zs: np.ndarray, ns: np.ndarray, bias: np.ndarray) -> np.ndarray:
-        least = np.where(bias, 0.0, l1)
-        return np.where(np.abs(zs) <= least, 0.0, -(zs - np.sign(zs) * least) / ((b + np.sqrt(ns)) / a + l2))
-
-    if len(np.unique(labels)) == 2:
-        rows = [np.append(at, SPACE) for at in rows]
-        for _ in range(settings.passes):
-            for at, label in zip(rows, labels):
-                zs, ns = z[at], n[at]
-                w = weights(zs, ns, at == SPACE)
-                g = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - label
-                z[at] = zs + g - (np.sqrt(ns + g * g) - np.sqrt(ns)) / a * w
-                n[at] = ns + g * g
-    else:
-        z[SPACE], n[SPACE] = np.inf, 0
+    """Learn from rows of distinct coordinates in the given order.
+
+    The L1 penalty of a coordinate grows with the root of the number of rows that have it, as does
+    what it gathers by chance; coordinates of fewer than ``least_rows`` rows are left out.
+    """
+    if len(np.unique(labels)) < 2:
         return Model(np.array([SPACE]), np.array([-np.inf]))
-    used = np.flatnonzero((np.abs(z) > l1) | (np.arange(SPACE + 1) == SPACE))
-    return Model(used, weights(z[used], n[used], used == SPACE))
+    seen = np.bincount(np.concatenate(rows), minlength=SPACE + 1)
+    z, n, least = np.zeros(SPACE + 1), np.zeros(SPACE + 1), settings.l1 * np.sqrt(seen)
+    a, b, l2 = settings.alpha, settings.beta, settings.l2
+    rows = [np.append(at[seen[at] >= settings.least_rows], SPACE) for at in rows]
+
+    def weights(at: np.ndarray, zs: np.ndarray, ns: np.ndarray) -> np.ndarray:
+        return -np.sign(zs) * np.maximum(np.abs(zs) - least[at], 0) / ((b + np.sqrt(ns)) / a + l2)
+
+    for _ in range(settings.passes):
+        for at, label in zip(rows, labels):
+            zs, ns = z[at], n[at]
+            w = weights(at, zs, ns)
+            g = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - label
+            z[at] = zs + g - (np.sqrt(ns + g * g) - np.sqrt(ns)) / a * w
+            n[at] = ns + g * g
+    used = np.flatnonzero((np.abs(z) > least) | (np.arange(SPACE + 1) == SPACE))
+    return Model(used, weights(used, z[used], n[used]))
 
 
 def train(
@@ -135,29 +138,49 @@ def train(
     return Model(*(learned.column(c).to_numpy() for c in ("at", "weight")))
 
 
-def score(documents: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key`` and ``score``, the probability of label 1."""
+def _scorer(documents: DataFrame, model: Model):
+    """A function that gives, inside tasks, the scores of texts."""
     sent = documents.sparkSession.sparkContext.broadcast((model.at, model.weight))
-    schema = T.StructType([T.StructField("key", documents.schema[key].dataType), T.StructField("score", T.DoubleType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scores(rows: list[bytes]) -> np.ndarray:
         at, weight = sent.value
         dense = np.zeros(SPACE, dtype=np.float64)
         dense[at[at < SPACE]] = weight[at < SPACE]
-        bias = float(weight[at == SPACE].sum())
+        words = [words_of(t) for t in rows]
+        row, used = features(words)
+        live = np.flatnonzero(dense[used])
+        both = np.unique(row[live] * SPACE + used[live])
+        total = float(weight[at == SPACE].sum()) + np.bincount(both // SPACE, weights=dense[both % SPACE], minlength=len(words))
+        return 1 / (1 + np.exp(-np.clip(total, -700, 700)))
+
+    return scores
+
+
+def score(documents: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key`` and ``score``, the probability of label 1."""
+    scores = _scorer(documents, model)
+    schema = T.StructType([T.StructField("key", documents.schema[key].dataType), T.StructField("score", T.DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in worker.slices(batches, "text"):
-            words = [words_of(t) for t in worker.texts(batch, "text")]
-            row, used = features(words)
-            live = np.flatnonzero(dense[used])
-            both = np.unique(row[live] * SPACE + used[live])
-            total = bias + np.bincount(both // SPACE, weights=dense[both % SPACE], minlength=len(words))
-            found = 1 / (1 + np.exp(-np.clip(total, -700, 700)))
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(found)], names=["key", "score"])
+            found = pa.array(scores(worker.texts(batch, "text")))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), found], names=["key", "score"])
 
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
     return rows.mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
+def without_toxic(documents: DataFrame, model: Model, text: str = "text", limit: float = 0.7) -> DataFrame:
+    """The rows, all columns, whose score stays below the limit; no shuffle."""
+    scores = _scorer(documents, model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in worker.slices(batches, text):
+            yield batch.filter(pa.array(scores(worker.texts(batch, text)) < limit))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def held_out(key: str = "doc_id"):
     """Whether a document's label is kept from the learner: the crc32 of its key leaves 1 when divided by 3."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1, F.lit(False))
