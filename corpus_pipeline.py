@@ -1,4 +1,9 @@
-"""The corpus pipeline: toxicity, near-duplicates, benchmark decontamination, personal data, tokens."""
+"""The corpus pipeline: toxicity, near-duplicates, benchmark decontamination, personal data, tokens.
+
+Each stage works on all documents that the one before kept. Toxic, repeated and contaminated
+documents go, personal data are replaced in their texts, and the last stage returns each document's
+tokens. Null texts count as empty; a stage keeps documents that it has nothing against.
+"""
 
 from __future__ import annotations
 
@@ -8,26 +13,55 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe
+from textloom.llm import bpe, decontaminate, pii, simhash, toxicity
+from textloom.plans.session import staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 4: documents whose score reaches 0.7 go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~toxicity.held_out())
+    return toxicity.without_toxic(docs, toxicity.train(docs, labels))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 3: of each group of near-duplicates, the document with the smallest id stays."""
+    return simhash.one_per_group(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: documents that hold a passage of the benchmark go."""
+    found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return docs.join(found.where("contaminated").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 5: spans of personal data become their kind in brackets; ``n_chars`` follows the text."""
+    return pii.redact(docs, pii.find(docs)).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2, last stage: every document with its tokens."""
+    """Operator 2, the last stage: every document's tokens."""
     return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES: list[tuple[str, Stage]] = [("encode", encode)]
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("personal_data", redact_personal_data),
+    ("tokens", encode),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents."""
+    """All stages over the documents; each stage's result is written to the shared folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
 
 
-#: The classifier and the tokenizer are beyond SQL; the tests hold each stage to brute force.
+#: The classifiers and the tokenizer are beyond SQL; the tests hold the stages to brute force.
 ORACLE_SQL = None
