@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, decontaminate, host_rules, pii, simhash, token_files, toxicity, warc
+from textloom.llm import bpe, decontaminate, host_rules, passages, pii, simhash, token_files, toxicity, warc
 from textloom.plans.session import stage_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -165,3 +165,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [F.size(F.filter("base", lambda s: s["kind"] == i)).cast("long").alias(f"n_{name}") for i, name in enumerate(pii.KINDS)]
     spans = F.sort_array(F.concat("base", "added"))
     return found.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(spans).alias("spans"))
+
+
+@query()
+def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that a document repeats from one with a smaller id."""
+    found = passages.repeated_passages(_table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("other", "other_doc_id")
