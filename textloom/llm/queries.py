@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, decontaminate, host_rules, passages, pii, simhash, token_files, toxicity, warc
+from textloom.llm import bpe, decontaminate, host_rules, licences, passages, pii, simhash, token_files, toxicity, warc
 from textloom.plans.session import stage_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +172,34 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 50 words or more that a document repeats from one with a smaller id."""
     found = passages.repeated_passages(_table(spark, sf_dir, "documents"))
     return found.withColumnRenamed("other", "other_doc_id")
+
+
+def _templates_sql() -> str:
+    rows = ", ".join(f"('{name}', '{text}')" for name, text in sorted(licences.TEMPLATES.items()))
+    return f"(SELECT * FROM (VALUES {rows}) AS v(license, body))"
+
+
+@query(f"""
+WITH parts AS (
+  SELECT doc_id, unnest(range(1, len(l) + 1)) AS line, unnest(l) AS body FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
+  UNION ALL SELECT doc_id, 0, text FROM documents WHERE contains(text, chr(10))
+),
+bodies AS (SELECT doc_id, line, body FROM parts UNION ALL SELECT -1, row_number() OVER (ORDER BY license), body FROM {_templates_sql()}),
+cut AS (SELECT doc_id, line, regexp_extract_all(translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+') AS w FROM bodies),
+pairs AS (SELECT DISTINCT doc_id, line, w[p] || ' ' || w[p + 1] AS pair FROM (SELECT *, unnest(range(1, len(w))) AS p FROM cut WHERE len(w) > 1)),
+sizes AS (SELECT doc_id, line, count(*) AS n FROM pairs GROUP BY doc_id, line),
+met AS (
+  SELECT a.doc_id, a.line, b.line AS t, count(*) AS shared FROM pairs a JOIN pairs b ON a.pair = b.pair AND b.doc_id = -1 AND a.doc_id <> -1
+  GROUP BY a.doc_id, a.line, b.line
+),
+named AS (SELECT row_number() OVER (ORDER BY license) AS t, license FROM {_templates_sql()}),
+scored AS (
+  SELECT met.doc_id, met.line, license, 2 * shared / (a.n + b.n) AS dice
+  FROM met JOIN sizes a ON met.doc_id = a.doc_id AND met.line = a.line JOIN sizes b ON b.doc_id = -1 AND met.t = b.line JOIN named ON met.t = named.t
+)
+SELECT doc_id, CAST(line AS INTEGER) AS line, license, dice FROM scored WHERE dice >= 0.8
+QUALIFY row_number() OVER (PARTITION BY doc_id, line ORDER BY dice DESC, license) = 1
+""")
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in all documents."""
+    return licences.scan(_table(spark, sf_dir, "documents"))
