@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from textloom.llm import worker
 
 #: Words and tokens that a worker remembers before it starts anew.
-CACHE_WORDS, CACHE_TOKENS = 1_500_000, 8_000_000
+CACHE_WORDS, CACHE_TOKENS = 1_200_000, 6_000_000
 #: Bytes of a row group and of a page.
 ROW_GROUP, PAGE = 16 << 20, 256 << 10
 
