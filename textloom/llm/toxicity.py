@@ -151,7 +151,8 @@ def _scorer(documents: DataFrame, model: Model):
         live = np.flatnonzero(dense[used])
         both = np.unique(row[live] * SPACE + used[live])
         total = float(weight[at == SPACE].sum()) + np.bincount(both // SPACE, weights=dense[both % SPACE], minlength=len(words))
-        return 1 / (1 + np.exp(-np.clip(total, -700, 700)))
+        with np.errstate(over="ignore"):
+            return 1 / (1 + np.exp(-total))
 
     return scores
 
