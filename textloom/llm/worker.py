@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that a task holds in its working arrays at once; a single longer text is taken whole.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def kept(key: Any, build: Callable[[], Any]) -> Any:
