@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import tempfile
+
 import pytest
 from pyspark.sql import SparkSession
 
@@ -13,6 +15,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="textloom-tests-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -61,3 +61,8 @@ def artifact_word(words: tuple[str, ...] = ARTIFACT_WORDS) -> str:
     """A whole word or hyphenated compound that contains one of the artifact words."""
     inner = r"[\p{L}\p{N}_-]*"
     return rf"(?iu){WORD_EDGE}{inner}?(?:{any_of(words)}){inner}{WORD_EDGE}"
+
+
+def holds_artifact_word(words: tuple[str, ...] = ARTIFACT_WORDS) -> str:
+    """Any of the artifact words, in whatever they stand; linear, unlike the search for the whole word."""
+    return rf"(?iu)(?:{any_of(words)})"

@@ -47,7 +47,8 @@ def remove_markup(text: Column, words: tuple[str, ...] = P.ARTIFACT_WORDS) -> Co
         text = F.regexp_replace(text, pattern, " ")
     if not words:
         return text
-    return F.regexp_replace(text, P.artifact_word(words), " ")
+    # Texts without any of the words never meet the costly pattern.
+    return F.when(text.rlike(P.holds_artifact_word(words)), F.regexp_replace(text, P.artifact_word(words), " ")).otherwise(text)
 
 
 def has_markup(text: Column) -> Column:
@@ -56,7 +57,7 @@ def has_markup(text: Column) -> Column:
 
 
 def has_artifact(text: Column, words: tuple[str, ...] = P.ARTIFACT_WORDS) -> Column:
-    return text.rlike(P.artifact_word(words)) if words else F.lit(False)
+    return text.rlike(P.holds_artifact_word(words)) & text.rlike(P.artifact_word(words)) if words else F.lit(False)
 
 
 def has_source_markup(text: Column) -> Column:

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,25 +10,15 @@ from pyspark.sql import functions as F
 # A side is sent to every executor only when it has at most this many rows.
 BROADCAST_ROWS = 100_000
 
-_local_dir: str | None = None
-
-
 def shared_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables that every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master may fall back to a
-    temporary folder, because there driver and executors are one process.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, the tables go below
+    ``spark.sql.warehouse.dir``, which is shared wherever Spark's own tables are.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    global _local_dir
-    if _local_dir is None:
-        _local_dir = tempfile.mkdtemp(prefix="textloom-")
-        atexit.register(shutil.rmtree, _local_dir, ignore_errors=True)
-    return _local_dir
+    folder = configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/textloom"
+    return folder.rstrip("/")
 
 
 def stage_path(spark: SparkSession, name: str) -> str:

@@ -121,10 +121,10 @@ def ingest_table(
 
 
 def ingest_csv(
-    df: DataFrame, reference: str, order_by: list[str], preferred: str | None = None, limit: int = 200
+    df: DataFrame, reference: str, order_by: list[str], preferred: str | None = None, limit: int | None = None
 ) -> DataFrame | None:
-    """Landed CSV: limit first, then detection on those rows; source ``kaggle_<last part>``."""
-    rows = df.orderBy(*order_by).limit(limit)
+    """Landed CSV: limit first, if one is given, then detection on those rows; source ``kaggle_<last part>``."""
+    rows = df if limit is None else df.orderBy(*order_by).limit(limit)
     column = detect_text_column(rows, order_by, preferred)
     if column is None or preferred not in (None, column):
         return None
