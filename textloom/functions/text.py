@@ -48,7 +48,7 @@ def remove_markup(text: Column, words: tuple[str, ...] = P.ARTIFACT_WORDS) -> Co
     if not words:
         return text
     # Texts without any of the words never meet the costly pattern.
-    return F.when(text.rlike(P.holds_artifact_word(words)), F.regexp_replace(text, P.artifact_word(words), " ")).otherwise(text)
+    return F.when(text.rlike(P.holds_artifact_word(words)), F.regexp_replace(text, P.artifact_word(words), "$1 ")).otherwise(text)
 
 
 def has_markup(text: Column) -> Column:

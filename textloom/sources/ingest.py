@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -18,6 +19,8 @@ from textloom.operators import prepare
 from textloom.operators.dedup import keep_first
 from textloom.plans.session import small_side
 
+log = logging.getLogger(__name__)
+
 REVIEW_QUEUE_SCHEMA = (
     "id string, text string, label string, confidence double, "
     "source string, suggested_label string, corrected_label string"
@@ -307,12 +310,18 @@ def merge(sources: Sequence[DataFrame], order_by: Sequence[str] = ()) -> DataFra
 
 
 def available(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The sources that can be read. One that fails is left out, as an empty frame would be."""
+    """The sources that can be read. One that cannot be found or opened is left out, with a warning.
+
+    Any other failure, such as that of a job, is raised.
+    """
     usable = {}
     for name, rows in sources.items():
         try:
             rows.limit(1).count()
-        except (AnalysisException, Py4JJavaError):
+        except (AnalysisException, Py4JJavaError) as error:
+            if isinstance(error, Py4JJavaError) and "FAILED_READ_FILE" not in str(error):
+                raise
+            log.warning("source %s cannot be read and is left out: %s", name, str(error).partition("\n")[0])
             continue
         usable[name] = rows
     return usable
