@@ -126,3 +126,17 @@ def test_review_impact_and_histogram(spark):
     rows = spark.createDataFrame([("0.0",), ("0.5",), ("1.0",), ("bad",)], "confidence string")
     assert [row[:] for row in labelling.review_impact(rows, [0.5, 2.0]).collect()] == [(0.5, 2, 50.0), (2.0, 4, 100.0)]
     assert {row.bin: row.rows for row in labelling.confidence_histogram(rows).collect()} == {0: 2, 15: 1, 29: 1}
+
+
+def test_apply_corrections(spark):
+    queue = spark.createDataFrame(
+        [("1", "safety", ""), ("2", "weather", ""), ("3", "weather", "old"), ("4", "weather", "old"), (None, "x", "")],
+        "id string, suggested_label string, corrected_label string",
+    )
+    decisions = spark.createDataFrame(
+        [("1", None, 1), ("2", "a", 2), ("2", " b ", 1), ("3", "c", 1), ("9", "d", 1), (None, "e", 1)], "id string, label string, turn int"
+    )
+    got = labelling.apply_corrections(queue, decisions, ["turn"])
+    assert {row.id: row.corrected_label for row in got.collect()} == {"1": "safety", "2": "a", "3": "c", "4": "old", None: ""}
+    assert labelling.apply_corrections(queue, decisions.limit(0), ["turn"]).where("corrected_label = 'old'").count() == 2
+    assert labelling.apply_corrections(queue.limit(0), decisions).count() == 0

@@ -319,6 +319,20 @@ def corrected_rows(queue: DataFrame, strip_first: bool = False) -> DataFrame:
     )
 
 
+def apply_corrections(queue: DataFrame, corrections: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
+    """The queue with decisions (``id``, ``label``) written to ``corrected_label``.
+
+    A decision without a label accepts the suggested one. Of several for one id the last by ``order_by``
+    counts, then the greatest label. Rows without a decision stay as they are; ids not queued are left out.
+    """
+    label = F.coalesce(strip(F.col("label")), F.lit("")).alias("_label")
+    decided = corrections.groupBy(F.col("id").cast("string").alias("_id")).agg(F.max(F.struct(*order_by, label)).alias("_last"))
+    chosen = F.when(F.col("_last._label") != "", F.col("_last._label")).otherwise(F.col("suggested_label"))
+    written = F.when(F.col("_last").isNotNull(), chosen).otherwise(F.col("corrected_label"))
+    joined = queue.join(decided, F.col("id").cast("string") == F.col("_id"), "left")
+    return joined.withColumn("corrected_label", written).drop("_id", "_last")
+
+
 def merge_reviews(confident: DataFrame, queue: DataFrame) -> DataFrame:
     """Confident rows plus corrected ones."""
     return confident.unionByName(corrected_rows(queue), allowMissingColumns=True)

@@ -143,3 +143,15 @@ def progress_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     keep = {"html_entities": "keep", "html_artifacts": "keep", "duplicates": "keep", "fuzzy_duplicates": "keep"}
     rows = annotated_table(spark, sf_dir)
     return labelling.progress_report(raw, quality.clean(raw, ["doc_id"], keep), rows, queue(spark, sf_dir, rows))
+
+
+@query("""SELECT doc_id, CASE WHEN quality IS NULL THEN '' WHEN quality = 1 THEN lang ELSE 'reject' END AS corrected_label
+ FROM documents LEFT JOIN labels USING (doc_id)""")
+def corrections_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions written back to the queue: good documents keep the suggested label, others are rejected."""
+    queued = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"), F.col("lang").alias("suggested_label"), F.lit("").alias("corrected_label")
+    )
+    label = F.when(F.col("quality") != 1, "reject").alias("label")
+    decisions = table(spark, sf_dir, "labels").where("quality IS NOT NULL").select(F.col("doc_id").alias("id"), label)
+    return labelling.apply_corrections(queued, decisions).select(F.col("id").alias("doc_id"), "corrected_label")
