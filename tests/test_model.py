@@ -140,9 +140,9 @@ def test_single_class_gives_a_constant(labelled):
 
 def test_training_is_skipped(spark, labelled):
     empty = classifier.train_or_skip(labelled.where("label = 'nothing'"))
-    assert empty.skipped == "No labeled rows available for model training"
+    assert empty.skipped == "no rows are left to train on"
     one = classifier.train_or_skip(labelled.where("label = 'safety'"))
-    assert one.skipped.startswith("Need at least 2 classes") and one.metrics.first().accuracy == 0.0
+    assert one.skipped.startswith("training takes two classes") and one.metrics.first().accuracy == 0.0
     with pytest.raises(ValueError):
         prepare.trainable_rows(spark.range(1))
 
@@ -234,3 +234,15 @@ def test_pool_resolution(spark):
     rows = spark.createDataFrame([("t", "a", " b "), ("t", "a", ""), ("t", None, None), (" ", "a", "b")], "text string, label string, corrected_label string")
     got = prepare.prepare_pool(rows, ["label", "corrected_label"])
     assert sorted(row.label for row in got.collect()) == ["", "a", "b"] and {row.id for row in got.collect()} == {"1", "2", "3"}
+
+
+def test_split_keeps_quotas_with_repeated_ids(spark):
+    rows = spark.range(400).selectExpr("cast(id % 200 as string) AS id", "if(id % 2 = 0, 'a', 'b') AS label", "cast(id AS string) AS text")
+    flagged = split.with_test_flag(rows)
+    assert {row[0]: row[1] for row in flagged.where("is_test").groupBy("label").count().collect()} == {"a": 40, "b": 40}
+    assert flagged.columns == ["id", "label", "text", "is_test"]
+
+
+def test_cycle_never_queries_what_is_labelled(spark, labelled):
+    history = active.run_cycle(labelled, labelled, "random", iterations=2, batch_size=100, initial_size=30)
+    assert [row.n_labeled for row in history.orderBy("iteration").collect()] == [30, 60]

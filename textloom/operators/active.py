@@ -115,17 +115,21 @@ def run_cycle(
 
     As in the reference, the query uses the model that was fitted on the training part of the
     split, and queried rows without a label stay out of the next fit. The pool itself is never
-    copied: queried ids, at most ``iterations * batch_size``, are kept out by an anti-join. The
-    labelled rows are written once per iteration, which cuts their lineage.
+    copied: the ids of the first labelled rows, where the pool has ids of its own, and of the queried
+    ones, at most ``initial_size + iterations * batch_size`` (or one per class), are kept out by an
+    anti-join. The labelled rows are written once per iteration, which cuts their lineage.
     """
     strategy = resolve_strategy(strategy)
     rows = prepare.prepare_training(labeled)
+    own_ids = id_col in pool.columns
     pool = prepare.prepare_pool(pool, id_col=id_col)
     current = rows if rows.limit(initial_size).count() < initial_size else initial_sample(rows, initial_size, id_col)
     current = staged(current.select(id_col, "text", "label"), "labelled")
-    queried_ids: list = []
+    id_kind = dict(pool.dtypes)[id_col]
+    id_schema = f"{id_col} {id_kind}"
+    known = current.select(F.col(id_col).cast(id_kind)).where(F.col(id_col).isNotNull())
+    queried_ids: list = [row[0] for row in known.collect()] if own_ids else []
     history = []
-    id_schema = f"{id_col} {dict(pool.dtypes)[id_col]}"
     spark = rows.sparkSession
     for iteration in range(1, iterations + 1):
         try:

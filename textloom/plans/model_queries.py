@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.functions import patterns as P
@@ -222,7 +222,7 @@ def curation_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return side_by_side([result.progress, result.training.metrics])
 
 
-@query("SELECT 0.0::DOUBLE AS accuracy, 0.0::DOUBLE AS f1_macro, 0::BIGINT AS n_train, 'Need at least 2 classes with >=2 samples for training' AS reason FROM (SELECT count(*) FROM documents WHERE lang = 'en')")
+@query("SELECT 0.0::DOUBLE AS accuracy, 0.0::DOUBLE AS f1_macro, 0::BIGINT AS n_train, 'training takes two classes of two rows each' AS reason FROM (SELECT count(*) FROM documents WHERE lang = 'en')")
 def training_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A single class cannot be trained: zero metrics and the reason."""
     result = classifier.train_or_skip(_training(spark, sf_dir).where("label = 'en'"))
@@ -231,21 +231,21 @@ def training_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def learning_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three iterations of active learning over all documents."""
+    """Active learning over all documents; the cycle keeps its labelled rows out of the pool."""
     rows = staged(_training(spark, sf_dir), "training")
-    return active.run_cycle(rows, rows, "entropy", iterations=3)
+    return active.run_cycle(rows, rows, "entropy")
 
 
 @query()
 def strategy_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Histories of all strategies, two iterations each."""
+    """Histories of all strategies."""
     rows = staged(_training(spark, sf_dir), "training")
-    return active.compare_strategies(rows, rows, iterations=2)
+    return active.compare_strategies(rows, rows)
 
 
 _HISTORY = """history AS (SELECT CASE lang WHEN 'en' THEN 'entropy' WHEN 'de' THEN 'margin' ELSE 'random' END AS strategy,
   (CAST(substr(source, 4, 9) AS INT) + 1) AS iteration, count(*) AS n, round(avg(quality), 4) AS f1_macro
-  FROM documents JOIN labels USING (doc_id) WHERE lang IN ('en', 'de', 'fr') GROUP BY ALL),
+  FROM documents JOIN labels USING (doc_id) GROUP BY ALL),
  sized AS (SELECT strategy, iteration, f1_macro, sum(n) OVER (PARTITION BY strategy ORDER BY iteration)::BIGINT AS n_labeled FROM history)"""
 
 
@@ -256,7 +256,7 @@ _HISTORY = """history AS (SELECT CASE lang WHEN 'en' THEN 'entropy' WHEN 'de' TH
  FROM finals f LEFT JOIN reached r USING (strategy), best""")
 def strategy_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best strategy and rows saved, over histories derived from labelled documents."""
-    documents = table(spark, sf_dir, "documents").where("lang IN ('en', 'de', 'fr')")
+    documents = table(spark, sf_dir, "documents")
     named = F.when(F.col("lang") == "en", "entropy").when(F.col("lang") == "de", "margin").otherwise("random")
     iteration = F.expr("CAST(substr(source, 4, 9) AS INT) + 1")
     history = (
@@ -264,8 +264,5 @@ def strategy_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(named.alias("strategy"), iteration.alias("iteration"))
         .agg(F.count("*").alias("n"), F.round(F.avg("quality"), 4).alias("f1_macro"))
     )
-    history.createOrReplaceTempView("learning_history")
-    sized = spark.sql(
-        "SELECT *, sum(n) OVER (PARTITION BY strategy ORDER BY iteration) AS n_labeled FROM learning_history"
-    )
-    return active.strategy_summary(sized)
+    so_far = Window.partitionBy("strategy").orderBy("iteration")
+    return active.strategy_summary(history.withColumn("n_labeled", F.sum("n").over(so_far)))
