@@ -1,14 +1,11 @@
-"""Shared storage for intermediate tables and size-checked broadcasts."""
+"""Shared storage for intermediate tables."""
 
 from __future__ import annotations
 
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# A side is sent to every executor only when it has at most this many rows.
-BROADCAST_ROWS = 100_000
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables that every executor can reach.
@@ -37,13 +34,10 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def small_side(df: DataFrame) -> DataFrame:
     """A table that is expected, but not certain, to be small: a join side or a report's groups.
 
-    Up to ``max_rows`` rows it becomes a local table, computed once however often it is used,
-    and marked for broadcast. Beyond that the frame is returned as it is, and joins shuffle.
+    It is written once, so it is computed once however often it is used, and Spark knows its bytes: joins
+    broadcast it below ``spark.sql.autoBroadcastJoinThreshold`` and shuffle beyond. No row passes the driver.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return staged(df, "side")
