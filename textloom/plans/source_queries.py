@@ -97,7 +97,7 @@ def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _FEED_TEXT = (
-    "CASE WHEN doc_id % 3 = 0 THEN split_part(text, chr(10), 1) || '. ' "
+    "CASE WHEN doc_id % 3 = 0 THEN text || '. ' "
     "ELSE split_part(text, chr(10), 1) || '. ' || text END"
 )
 
@@ -105,9 +105,9 @@ _FEED_TEXT = (
 @query(f"""WITH t AS (SELECT {S.strip(f"trim({_FEED_TEXT}, '. ')")} AS text FROM documents)
  SELECT md5(text) AS text_md5, length(text) AS chars, 'rss_www.example.com:8080' AS source FROM t WHERE length(text) >= 20""")
 def feed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feed XML made from the documents: first line as title, every third one without summary."""
+    """Feed XML made from the documents: first line as title; every third one has all its text there and no summary."""
     path = stage_path(spark, "feed")
-    title = F.split_part("text", F.lit("\n"), F.lit(1))
+    title = F.when(F.col("doc_id") % 3 == 0, F.col("text")).otherwise(F.split_part("text", F.lit("\n"), F.lit(1)))
     documents = table(spark, sf_dir, "documents")
     documents.select(
         title.alias("title"), F.when(F.col("doc_id") % 3 != 0, F.col("text")).alias("description")
@@ -116,14 +116,14 @@ def feed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.md5("text").alias("text_md5"), F.length("text").cast("bigint").alias("chars"), "source")
 
 
-@query(f"""WITH t AS (SELECT CASE WHEN doc_id % 5 = 0 THEN split_part(text, chr(10), 1)
-   ELSE {S.strip("split_part(text, chr(10), 1) || ' ' || lang || ' ' || source")} END AS text FROM documents)
+@query(f"""WITH t AS (SELECT CASE WHEN doc_id % 5 = 0 THEN {S.strip("text")}
+   ELSE {S.strip("text || ' ' || lang || ' ' || source")} END AS text FROM documents)
  SELECT text, 'stackexchange_sail_boats' AS source FROM t WHERE length(text) >= 20""")
 def question_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q&A pages of up to 100 items made from the documents; every fifth item has no tags."""
     path = stage_path(spark, "questions")
     tags = F.when(F.col("doc_id") % 5 == 0, F.array().cast("array<string>")).otherwise(F.array("lang", "source"))
-    item = F.struct(F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), tags.alias("tags"))
+    item = F.struct(F.col("text").alias("title"), tags.alias("tags"))
     pages = (
         table(spark, sf_dir, "documents")
         .groupBy(F.floor(F.col("doc_id") / 100).alias("page"))
