@@ -41,7 +41,9 @@ def test_run(spark, tmp_path):
     assert second.annotation.first().kappa_n_samples == corrected
     scores, plain = second.training.metrics.first(), first.training.metrics.first()
     assert scores.n_train + scores.n_test == plain.n_train + plain.n_test + corrected
-    assert [row.n_labeled for row in second.learning.orderBy("iteration").collect()] == [50, 70] or second.learning.count() >= 1
+    # The pool is the queue, which may hold less than a batch beside the rows already labelled.
+    start, grown = (row.n_labeled for row in second.learning.orderBy("iteration").collect())
+    assert start == 50 and start < grown <= start + 20
 
 
 def test_report(spark):
@@ -49,24 +51,19 @@ def test_report(spark):
     assert all(frame.count() > 0 for name, frame in tables.items() if name != "issues")
 
 
-def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
-    class Context:
-        master = "yarn"
+def test_shared_folder_comes_from_settings():
+    class Conf(dict):
+        def get(self, name, *default):
+            return super().get(name, *default) if default else self[name]
 
     class Session:
-        sparkContext = Context()
-        conf = {}
-
-    monkeypatch.setattr(Session, "conf", type("Conf", (), {"get": staticmethod(lambda name, default: default)})())
-    try:
-        session.shared_dir(Session())
-    except RuntimeError as error:
-        assert "spark.checkpoint.dir" in str(error)
-    else:
-        raise AssertionError("a cluster without a shared folder must be refused")
-
-
-def test_small_side_beyond_its_bound(spark):
-    rows = spark.range(10)
-    assert session.small_side(rows, 5) is rows
-    assert session.small_side(rows, 10).count() == 10
+        conf = Conf({"spark.checkpoint.dir": "s3://bucket/shared/", "spark.sql.warehouse.dir": "s3://bucket/tables"})
+
+    assert session.shared_dir(Session()) == "s3://bucket/shared"
+    del Session.conf["spark.checkpoint.dir"]
+    assert session.shared_dir(Session()) == "s3://bucket/tables/textloom"
+
+
+def test_small_side_is_computed_once(spark):
+    side = session.small_side(spark.range(10).withColumn("r", F.rand()))
+    assert sorted(side.collect()) == sorted(side.collect()) and side.count() == 10
