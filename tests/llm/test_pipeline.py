@@ -18,6 +18,21 @@ def test_every_operator_and_the_pipeline_are_registered():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "decontamination", "personal_data", "tokens"]
 
 
+def test_rows_that_share_a_key_or_have_none_are_judged_by_their_own_texts(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    a, b, c = ("alpha beside quiet rivers", "gamma above old bridges", "delta among tall lanterns")
+    rows = [(1, a), (1, b), (2, b), (3, c), (3, c), (4, f"mail x@mail.example.com {a} now"), (4, f"mail me, y@mail.example.com {c}"), (None, f"mail z@mail.example.com {b}"), (5, item), (5, f"{c} {c}"), (None, item)]
+    docs = spark.createDataFrame([(k, t, None, "s", 1) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = lambda df: sorted((r.doc_id or 0, r.text) for r in df.collect())
+    dedup = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert got(dedup.where("doc_id < 4")) == [(1, a), (1, b), (3, c)] and dedup.where("doc_id IS NULL").count() == 2
+    kept = corpus_pipeline.drop_contaminated(spark, docs, SF)
+    assert got(kept) == sorted((k or 0, t) for k, t in rows if t != item) and kept.columns == docs.columns
+    clean = got(corpus_pipeline.redact_personal_data(spark, docs, SF))
+    assert len(clean) == len(rows) and not any("@" in t for _, t in clean)
+    assert {(4, f"mail [email] {a} now"), (4, f"mail me, [email] {c}"), (0, f"mail [email] {b}")} <= {*clean}
+
+
 def test_stages_take_effect(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     item = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").first().text

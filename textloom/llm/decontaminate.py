@@ -135,11 +135,11 @@ def prefixes(windows: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def candidates(documents: DataFrame, bits: np.ndarray, sizes: list[int], size: int) -> DataFrame:
-    """A row per document: ``row``, ``key``, ``n_words`` and ``found``: shingle, place and the words around it."""
+    """A row per document: ``row``, ``key``, ``digest``, ``n_words`` and ``found``: shingle, place and the words around it."""
     sent = documents.sparkSession.sparkContext.broadcast(bits)
     kind = pa.list_(pa.struct([("shingle", pa.int64()), ("place", pa.int32()), ("before", pa.int32()), ("around", pa.string())]))
     key = documents.schema["key"].dataType.simpleString()
-    schema = f"row long, key {key}, n_words long, found array<struct<shingle:long, place:int, before:int, around:string>>"
+    schema = f"row long, key {key}, digest string, n_words long, found array<struct<shingle:long, place:int, before:int, around:string>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
@@ -154,8 +154,8 @@ def candidates(documents: DataFrame, bits: np.ndarray, sizes: list[int], size: i
             numbers = pa.array(np.arange(row, row + len(rows)))
             row += len(rows)
             counts = pa.array([len(words) for words in rows], pa.int64())
-            columns = [numbers, batch.column("key"), counts, pa.array(found, kind)]
-            yield pa.RecordBatch.from_arrays(columns, names=["row", "key", "n_words", "found"])
+            columns = [numbers, batch.column("key"), batch.column("digest"), counts, pa.array(found, kind)]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "key", "digest", "n_words", "found"])
 
     return documents.mapInArrow(run, schema)
 
@@ -164,9 +164,9 @@ def contamination(
     documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text",
     item_key: str = "item_id", item_text: str = "text", size: int = 10,
 ) -> DataFrame:
-    """Per document: ``key``, ``n_words``, ``n_hit`` (words inside an occurrence of a window), ``items``
+    """Per document: ``key``, ``digest`` of the text, ``n_words``, ``n_hit`` (words inside an occurrence of a window), ``items``
     (keys as sorted text of the items with such windows) and ``contaminated``."""
-    documents = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    documents = documents.select(F.col(key).alias("key"), worker.digest(text).alias("digest"), F.col(text).alias("text"))
     windows = staged(item_windows(items, item_key, item_text, size), "windows")
     every = windows.select(F.explode("shingles.shingle").alias("shingle"))
     sizes = sorted(r[0] for r in windows.select(F.least("length", F.lit(SHINGLE))).distinct().collect())
@@ -185,8 +185,16 @@ def contamination(
     n_hit = spans.withColumn("fresh", fresh).groupBy("row").agg(F.sum("fresh").cast("long").alias("n_hit"))
     met = hits.select("row", "window").distinct().join(windows.select("window", "item"), "window").select("row", "item")
     of_row = met.groupBy("row").agg(F.sort_array(F.collect_set("item")).alias("items"))
-    result = found.select("row", "key", "n_words").join(n_hit, "row", "left").join(of_row, "row", "left")
+    result = found.select("row", "key", "digest", "n_words").join(n_hit, "row", "left").join(of_row, "row", "left")
     return result.select(
-        F.col("key").alias(key), "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+        F.col("key").alias(key), "digest", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.col("n_hit").isNotNull().alias("contaminated"),
     )
+
+
+def without_contaminated(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows, all columns, without a hit. Hits belong to a key and a text, so of rows that share a key,
+    null too, only the contaminated ones go."""
+    hit = contamination(documents, items, key, text).where("contaminated").select(F.col(key).alias("_key"), F.col("digest").alias("_digest"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & (worker.digest(text) == F.col("_digest"))
+    return documents.join(hit.distinct(), same, "left_anti")

@@ -65,16 +65,18 @@ def fingerprint_texts(rows: list[bytes], shingle: int = 3, seed: int = 42) -> np
     return found
 
 
-def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """``key`` and ``fingerprint`` (a signed long with the 64 bits)."""
-    schema = T.StructType([T.StructField("key", df.schema[key].dataType), T.StructField("fingerprint", T.LongType())])
+def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, *also: str) -> DataFrame:
+    """``key``, the columns ``also``, and ``fingerprint`` (a signed long with the 64 bits)."""
+    names = ["key", *also, "fingerprint"]
+    kinds = [*(df.schema[c].dataType for c in (key, *also)), T.LongType()]
+    schema = T.StructType([T.StructField(n, kind) for n, kind in zip(names, kinds)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in worker.slices(batches, "text"):
             found = fingerprint_texts(worker.texts(batch, "text"), shingle)
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(found.view(np.int64))], names=["key", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:-1]), pa.array(found.view(np.int64))], names=names)
 
-    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    rows = df.select(F.col(key).alias("key"), *also, F.col(text).alias("text"))
     return rows.mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
@@ -183,23 +185,26 @@ def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield rest.combine_chunks()
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3) -> DataFrame:
-    """``key``, ``fingerprint`` (long) and ``component``: the smallest key that links reach, a row per row."""
-    prints = staged(fingerprints(df, key, text, shingle), "prints")
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3, also: tuple[str, ...] = ()) -> DataFrame:
+    """``key``, the columns ``also``, ``fingerprint`` (long), ``root`` (the smallest fingerprint that links
+    reach) and ``component`` (the smallest key that has one of these), a row per row."""
+    prints = staged(fingerprints(df, key, text, shingle, *also), "prints")
     least = prints.groupBy("fingerprint").agg(F.min(key).alias("least"))
     roots = components(links(least.select("fingerprint"), distance))
     named = least.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
     named = staged(named.select("fingerprint", F.coalesce("root", "fingerprint").alias("root"), "least"), "roots")
     component = named.groupBy("root").agg(F.min("least").alias("component"))
-    of_print = named.join(component, "root").select("fingerprint", "component")
-    return prints.join(of_print, "fingerprint").select(key, "fingerprint", "component")
+    of_print = named.join(component, "root").select("fingerprint", "root", "component")
+    return prints.join(of_print, "fingerprint").select(key, *also, "fingerprint", "root", "component")
 
 
 def one_per_group(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3) -> DataFrame:
-    """The rows, all columns, whose key names their component; rows that repeat a key and its text are one.
+    """One row, all columns, of each component: that of its smallest key, and of the texts which share that
+    key the one of smallest digest.
 
     Rows without a key belong to no group that could name them, so all of them stay."""
-    found = near_duplicates(df.where(F.col(key).isNotNull()), key, text, shingle, distance)
-    named = found.where(F.col(key) == F.col("component")).select(key).distinct()
-    kept = df.join(named, key, "left_semi").dropDuplicates([key, text])
+    marked = df.withColumn("_digest", worker.digest(text)).where(F.col(key).isNotNull())
+    found = near_duplicates(marked, key, text, shingle, distance, ("_digest",))
+    named = found.where(F.col(key) == F.col("component")).groupBy("root").agg(F.min(F.struct(key, "_digest")).alias("one"))
+    kept = marked.join(named.select("one.*"), [key, "_digest"], "left_semi").dropDuplicates([key, "_digest"])
     return kept.select(*df.columns).unionByName(df.where(F.col(key).isNull()))

@@ -10,6 +10,8 @@ from typing import Any
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 #: Bytes of text that a task holds in its working arrays at once; a single longer text is taken whole.
 SLICE_BYTES = 2 << 20
@@ -36,6 +38,11 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
             yield batch.slice(first, last - first)
 
 
+def digest(text: str) -> Column:
+    """Tells rows of one key apart by their texts; a null text is an empty one."""
+    return F.md5(F.coalesce(F.col(text), F.lit("")))
+
+
 def texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
     """UTF-8 of a string column; null is empty."""
     return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]
