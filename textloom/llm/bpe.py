@@ -70,16 +70,14 @@ class Pieces:
     """Remembered token lists, by code: flat ids with a start and a count for each code."""
 
     def __init__(self):
-        self.flat = np.zeros(0, dtype=np.int32)
-        self.start = np.zeros(0, dtype=np.int64)
-        self.count = np.zeros(0, dtype=np.int64)
+        self.flat, self.start, self.count = worker.Growing(np.int32), worker.Growing(np.int64), worker.Growing(np.int64)
 
     def put(self, flat: np.ndarray, count: np.ndarray) -> range:
         """Codes of new lists, given flat with a count for each."""
         first = len(self.start)
-        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(count) - count])
-        self.count = np.concatenate([self.count, count])
-        self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
+        self.start.append(len(self.flat) + np.cumsum(count) - count)
+        self.count.append(count)
+        self.flat.append(flat)
         return range(first, first + len(count))
 
     def join(self, code: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,18 +48,20 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        vocabulary = self.tokenizer.get_vocab()
+        self.closing = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.closing[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
         self.code: dict[bytes, int] = {}
-        self.start = self.count = np.zeros(0, dtype=np.int64)
-        self.flat = np.zeros(0, dtype=np.int32)
+        self.start, self.count, self.flat = worker.Growing(np.int64), worker.Growing(np.int64), worker.Growing(np.int32)
 
     def _put(self, words: list[bytes], flat: np.ndarray, count: np.ndarray) -> None:
         first = len(self.start)
-        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(count) - count])
-        self.count = np.concatenate([self.count, count])
-        self.flat = np.concatenate([self.flat, flat])
+        self.start.append(len(self.flat) + np.cumsum(count) - count)
+        self.count.append(count)
+        self.flat.append(flat)
         self.code.update(zip(words, range(first, first + len(words))))
 
     def _learn(self, new: list[bytes]) -> None:
@@ -73,7 +76,10 @@ class WordEncoder:
         for w in new:
             if w not in core:
                 core[w] = w if b"<|" in w else w.lower()
-        unknown = [*{*core.values(), b".", b","}.difference(self.code)]
+        unknown = {*core.values(), b".", b","}.difference(self.code)
+        plain = [w for w in unknown if w.isalpha()]  # of bytes: ASCII letters alone
+        unknown = [*unknown.difference(plain)]
+        self._learn_plain(plain)
         for k in range(0, len(unknown), 10_000):
             part = unknown[k : k + 10_000]
             found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)]
@@ -89,17 +95,27 @@ class WordEncoder:
             if w not in code:
                 code[w] = code[core[w]]
 
+    def _learn_plain(self, words: list[bytes]) -> None:
+        """Words of ASCII letters are cut into no parts, so that each ends at its one closing token:
+        many go to the tokenizer as one text, which spares an object for each."""
+        for k in range(0, len(words), 100_000):
+            part = words[k : k + 100_000]
+            lines = [b" ".join(part[i : i + 100]).decode() for i in range(0, len(part), 100)]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)]
+            flat = np.fromiter(chain.from_iterable(found), np.int32)
+            ends = np.flatnonzero(self.closing[flat])
+            if len(ends) != len(part):
+                raise ValueError("the tokenizer cuts words of letters")
+            self._put(part, flat, np.diff(ends, prepend=-1))
+
     def encode(self, rows: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts, each closed by the end id, and the number of ids of each."""
         if len(self.start) > CACHE_WORDS or len(self.flat) > CACHE_TOKENS:
             self._forget()
         cut = [text.split() for text in rows]
-        wanted: set[bytes] = set()
-        for words in cut:
-            wanted.update(words)
-        self._learn([*wanted.difference(self.code)])
+        self._learn([*{*chain.from_iterable(cut)}.difference(self.code)])
         sizes = np.fromiter(map(len, cut), np.int64, len(cut))
-        code = np.fromiter((c for words in cut for c in map(self.code.__getitem__, words)), np.int64, int(sizes.sum()))
+        code = np.fromiter(map(self.code.__getitem__, chain.from_iterable(cut)), np.int64, int(sizes.sum()))
         width = self.count[code]
         sums = np.concatenate([[0], np.cumsum(width)])
         last = np.cumsum(sizes)

@@ -38,6 +38,28 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
             yield batch.slice(first, last - first)
 
 
+class Growing:
+    """A flat array that grows at its end without being copied each time."""
+
+    def __init__(self, kind: type):
+        self._data, self._size = np.zeros(1024, dtype=kind), 0
+
+    def __len__(self) -> int:
+        return self._size
+
+    def append(self, values: np.ndarray) -> None:
+        size = self._size + len(values)
+        if size > len(self._data):
+            more = np.empty(max(size, len(self._data) * 3 // 2), dtype=self._data.dtype)
+            more[: self._size] = self._data[: self._size]
+            self._data = more
+        self._data[self._size : size] = values
+        self._size = size
+
+    def __getitem__(self, at) -> np.ndarray:
+        return self._data[: self._size][at]
+
+
 def digest(text: str) -> Column:
     """Tells rows of one key apart by their texts; a null text is an empty one."""
     return F.md5(F.coalesce(F.col(text), F.lit("")))
