@@ -33,6 +33,19 @@ CACHE_WORDS, CACHE_TOKENS = 1_200_000, 6_000_000
 ROW_GROUP, PAGE = 16 << 20, 256 << 10
 
 
+class _Codes(dict):
+    """A number for each word; a word not seen before gets the next one and is noted in ``new``."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+
 class WordEncoder:
     """Encodes through the tokenizers library, each distinct run between white space once.
 
@@ -54,68 +67,86 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.code: dict[bytes, int] = {}
+        self.code = _Codes()
         self.start, self.count, self.flat = worker.Growing(np.int64), worker.Growing(np.int64), worker.Growing(np.int32)
 
-    def _put(self, words: list[bytes], flat: np.ndarray, count: np.ndarray) -> None:
-        first = len(self.start)
-        self.start.append(len(self.flat) + np.cumsum(count) - count)
-        self.count.append(count)
-        self.flat.append(flat)
-        self.code.update(zip(words, range(first, first + len(words))))
+    def _ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of words, and their counts, from the tokenizer."""
+        flat, count = [np.zeros(0, np.int32)], []
+        for k in range(0, len(words), 10_000):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words[k : k + 10_000]], add_special_tokens=False)]
+            count += map(len, found)
+            flat.append(np.fromiter(chain.from_iterable(found), np.int32))
+        return np.concatenate(flat), np.array(count, dtype=np.int64)
+
+    def _ids_of_plain(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """As above for words of ASCII letters. They are cut into no parts, so that each ends at its one closing
+        token: many go to the tokenizer as one text, which spares an object for each."""
+        flat, count = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for k in range(0, len(words), 100_000):
+            part = words[k : k + 100_000]
+            lines = [b" ".join(part[i : i + 100]).decode() for i in range(0, len(part), 100)]
+            ids = np.fromiter(chain.from_iterable(e.ids for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)), np.int32)
+            ends = np.flatnonzero(self.closing[ids])
+            if len(ends) != len(part):
+                raise ValueError("the tokenizer cuts words of letters")
+            flat.append(ids)
+            count.append(np.diff(ends, prepend=-1))
+        return np.concatenate(flat), np.concatenate(count)
 
-    def _learn(self, new: list[bytes]) -> None:
-        """Ids of words not seen before.
+    def _learn(self) -> None:
+        """Ids of the words that have a code but no ids yet.
 
         The tokenizer lower-cases, and it cuts before a full stop or comma that follows an ASCII
         letter or digit, so such words share the ids of what stands before; a word with "<|" may
         be a special token and goes as it is.
         """
-        closed = [w for w in new if w[-1:] in (b".", b",") and w[-2:-1].isalnum() and b"<|" not in w]
-        core = {w: w[:-1].lower() for w in closed}
-        for w in new:
-            if w not in core:
-                core[w] = w if b"<|" in w else w.lower()
-        unknown = {*core.values(), b".", b","}.difference(self.code)
-        plain = [w for w in unknown if w.isalpha()]  # of bytes: ASCII letters alone
-        unknown = [*unknown.difference(plain)]
-        self._learn_plain(plain)
-        for k in range(0, len(unknown), 10_000):
-            part = unknown[k : k + 10_000]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)]
-            count = np.fromiter(map(len, found), np.int64, len(found))
-            self._put(part, np.fromiter((i for ids in found for i in ids), np.int32, int(count.sum())), count)
-        code = self.code
+        code, new, first = self.code, self.code.new, len(self.start)
+        own: list[int] = []  # words that the tokenizer gets
+        shared: list[tuple[int, int]] = []  # a word and the one in lower case
+        closed: list[tuple[int, int, int]] = []  # a word, what stands before its mark, and the mark
+        # Words that others need join the list while it is read.
+        for i, w in enumerate(new, first):
+            if b"<|" in w:
+                own.append(i)
+            elif w[-1:] in (b".", b",") and w[-2:-1].isalnum():
+                closed.append((i, code[w[:-1].lower()], code[w[-1:]]))
+            elif (low := w.lower()) == w:
+                own.append(i)
+            else:
+                shared.append((i, code[low]))
+        none = np.zeros(len(new), dtype=np.int64)
+        self.start.append(none)
+        self.count.append(none)
+        start, count = self.start[:], self.count[:]
+        plain = [i for i in own if new[i - first].isalpha()]  # of bytes: ASCII letters alone
+        rest = [i for i in own if not new[i - first].isalpha()]
+        for some, get in ((plain, self._ids_of_plain), (rest, self._ids)):
+            flat, width = get([new[i - first] for i in some])
+            start[some], count[some] = len(self.flat) + np.cumsum(width) - width, width
+            self.flat.append(flat)
+        if shared:
+            at, low = np.array(shared).T
+            start[at], count[at] = start[low], count[low]
         if closed:
-            both = np.array([[code[core[w]], code[w[-1:]]] for w in closed], dtype=np.int64).ravel()
-            width = self.count[both]
-            at = np.repeat(self.start[both] - np.cumsum(width) + width, width) + np.arange(int(width.sum()))
-            self._put(closed, self.flat[at], width.reshape(-1, 2).sum(axis=1))
-        for w in new:
-            if w not in code:
-                code[w] = code[core[w]]
-
-    def _learn_plain(self, words: list[bytes]) -> None:
-        """Words of ASCII letters are cut into no parts, so that each ends at its one closing token:
-        many go to the tokenizer as one text, which spares an object for each."""
-        for k in range(0, len(words), 100_000):
-            part = words[k : k + 100_000]
-            lines = [b" ".join(part[i : i + 100]).decode() for i in range(0, len(part), 100)]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)]
-            flat = np.fromiter(chain.from_iterable(found), np.int32)
-            ends = np.flatnonzero(self.closing[flat])
-            if len(ends) != len(part):
-                raise ValueError("the tokenizer cuts words of letters")
-            self._put(part, flat, np.diff(ends, prepend=-1))
+            parts = np.array(closed)
+            both = parts[:, 1:].ravel()
+            width = count[both]
+            total = width.reshape(-1, 2).sum(axis=1)
+            at = np.repeat(start[both] - np.cumsum(width) + width, width) + np.arange(int(width.sum()))
+            start[parts[:, 0]], count[parts[:, 0]] = len(self.flat) + np.cumsum(total) - total, total
+            self.flat.append(self.flat[at])
+        code.new = []
 
     def encode(self, rows: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts, each closed by the end id, and the number of ids of each."""
         if len(self.start) > CACHE_WORDS or len(self.flat) > CACHE_TOKENS:
             self._forget()
         cut = [text.split() for text in rows]
-        self._learn([*{*chain.from_iterable(cut)}.difference(self.code)])
         sizes = np.fromiter(map(len, cut), np.int64, len(cut))
         code = np.fromiter(map(self.code.__getitem__, chain.from_iterable(cut)), np.int64, int(sizes.sum()))
+        if self.code.new:
+            self._learn()
         width = self.count[code]
         sums = np.concatenate([[0], np.cumsum(width)])
         last = np.cumsum(sizes)
