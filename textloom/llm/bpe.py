@@ -32,7 +32,7 @@ from textloom.llm import worker
 # Fixed value: the word pattern of byte-level pre-tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: What a worker remembers of words and their tokens before it starts anew.
-CACHE_WORDS, CACHE_TOKENS = 250_000, 1_250_000
+CACHE_WORDS, CACHE_TOKENS = 500_000, 2_500_000
 _FAR = np.int64(1) << 40
 
 
