@@ -85,7 +85,7 @@ class WordEncoder:
         flat, count = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
         for k in range(0, len(words), 100_000):
             part = words[k : k + 100_000]
-            lines = [b" ".join(part[i : i + 100]).decode() for i in range(0, len(part), 100)]
+            lines = [b" ".join(part[i : i + 20]).decode() for i in range(0, len(part), 20)]
             ids = np.fromiter(chain.from_iterable(e.ids for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)), np.int32)
             ends = np.flatnonzero(self.closing[ids])
             if len(ends) != len(part):
