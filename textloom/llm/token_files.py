@@ -83,8 +83,8 @@ class WordEncoder:
         """As above for words of ASCII letters. They are cut into no parts, so that each ends at its one closing
         token: many go to the tokenizer as one text, which spares an object for each."""
         flat, count = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-        for k in range(0, len(words), 100_000):
-            part = words[k : k + 100_000]
+        for k in range(0, len(words), 10_000):
+            part = words[k : k + 10_000]
             lines = [b" ".join(part[i : i + 20]).decode() for i in range(0, len(part), 20)]
             ids = np.fromiter(chain.from_iterable(e.ids for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)), np.int32)
             ends = np.flatnonzero(self.closing[ids])
