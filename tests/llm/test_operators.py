@@ -281,6 +281,29 @@ def test_passages_are_found_and_clean_documents_left_alone(spark, documents, emp
     assert {(7, 6), (8, 6)} <= copies and passages.repeated_passages(empty).count() == 0
 
 
+def _unlike(words, n):
+    return [f"{RND.choice(words)}{RND.randint(0, 10**9)}" for _ in range(n)]
+
+
+def test_fuzzy_passages_are_found_down_to_the_stated_similarity(spark):
+    rows, edits = [], {}
+    cases = [(55, (5, 50)), (50, (0, 49)), (50, tuple(range(4, 50, 5))), (60, tuple(range(2, 60, 5))), *((n, tuple(RND.sample(range(n), n // 5))) for n in (50, 55, 60, 80, 120) for _ in range(10))]
+    for i, (n, changed) in enumerate(cases):
+        passage = _unlike(WORDS, n)
+        edited = [f"changed{i}x{p}" if p in changed else w for p, w in enumerate(passage)]
+        rows += [(2 * i, " ".join(_unlike(WORDS, 70) + passage + _unlike(WORDS, 70))), (2 * i + 1, " ".join(_unlike(WORDS, 66) + edited + _unlike(WORDS, 75)))]
+        edits[2 * i + 1] = 1 - len(changed) / n
+    # 50 words with 11 changed are below the similarity.
+    passage = _unlike(WORDS, 50)
+    rows += [(1000, " ".join(_unlike(WORDS, 60) + passage + _unlike(WORDS, 60))), (1001, " ".join(_unlike(WORDS, 60) + [f"new{p}" if p % 5 == 0 or p == 27 else w for p, w in enumerate(passage)] + _unlike(WORDS, 60)))]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.other) for r in found} == {(k, k - 1) for k in edits}
+    texts = {k: t.split() for k, t in rows}
+    for r in found:
+        a, b = texts[r.doc_id][r.start : r.end], texts[r.other][r.other_start : r.other_end]
+        assert min(len(a), len(b)) >= 50 and r.similarity >= 0.8 and abs(r.similarity - 2 * passages.common(a, b) / (len(a) + len(b))) < 1e-9
+
+
 def test_common_subsequence_by_table():
     for _ in range(200):
         a, b = ([RND.choice("abc") for _ in range(RND.randint(1, 30))] for _ in range(2))
