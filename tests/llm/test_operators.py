@@ -304,6 +304,25 @@ def test_fuzzy_passages_are_found_down_to_the_stated_similarity(spark):
         assert min(len(a), len(b)) >= 50 and r.similarity >= 0.8 and abs(r.similarity - 2 * passages.common(a, b) / (len(a) + len(b))) < 1e-9
 
 
+def test_passages_whose_parts_others_hold_are_linked(spark):
+    rows, pairs, texts = [], set(), lambda *parts: " ".join(w for part in parts for w in part)
+    for i in range(0, 1000, 100):
+        passage = _unlike(WORDS, 60)
+        own = lambda: _unlike(WORDS, 60)
+        rows += [(i, texts(own(), passage[:45], own())), (i + 1, texts(own(), passage[15:], own()))]
+        rows += [(i + 2, texts(own(), passage, own())), (i + 3, texts(own(), passage, own()))]
+        # Lines that twelve others hold each, and lines with a holder each and changed words.
+        lines = [_unlike(WORDS, 10) for _ in range(6)]
+        rows += [(i + 10 + 6 * j + n, texts(own(), line, own())) for j in range(12) for n, line in enumerate(lines)]
+        rows += [(i + 90, texts(own(), *lines, own())), (i + 91, texts(own(), *lines, own()))]
+        fuzzy = [_unlike(WORDS, 20) for _ in range(3)]
+        rows += [(i + 4 + n, texts(own(), line, own())) for n, line in enumerate(fuzzy)]
+        rows += [(i + 92, texts(own(), *fuzzy, own())), (i + 93, texts(own(), *([*line[:9], "new", *line[10:]] for line in fuzzy), own()))]
+        pairs |= {(i + 3, i + 2), (i + 91, i + 90), (i + 93, i + 92)}
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert pairs <= {(r.doc_id, r.other) for r in found if r.end - r.start >= 60}
+
+
 def test_common_subsequence_by_table():
     for _ in range(200):
         a, b = ([RND.choice("abc") for _ in range(RND.randint(1, 30))] for _ in range(2))
