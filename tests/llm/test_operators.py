@@ -190,6 +190,16 @@ def test_personal_data_is_found_and_redacted(spark, documents, empty):
     assert sorted(t or "" for (t,) in pii.redact(documents, odd).select("text").collect()) == sorted(t or "" for (t,) in documents.select("text").collect())
 
 
+def test_loose_personal_data_is_added(spark):
+    token = lambda: "".join(RND.choice("0123456789abcdef") for _ in range(32))
+    rows = [(i, f"{prose(5)} me{i}@mail.example.com {prose(4)} +1 ({RND.randint(200, 999)}) 555-{RND.randint(1000, 9999)} {prose(4)} token = {token()} {prose(3)} order {RND.randint(10**9, 10**10)} {prose(3)}") for i in range(200)]
+    loose = ["jane.doe [at] mail [dot] example [dot] org", "jane(at)host.example.org", "(663) 555-6869", "555-123-4567"]
+    rows += [(1000 + i, f"{prose(6)} {loose[i % 4]} {prose(6)} token = {token()} {prose(2)}") for i in range(40)]
+    found = {r.doc_id: [rows_text[s.start : s.end] for s in r.added] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect() for rows_text in [dict(rows)[r.doc_id]]}
+    assert all(loose[i % 4] in found[1000 + i] for i in range(40))
+    assert sum(len(found[i]) for i in range(200)) <= 10
+
+
 def test_host_rules(spark, documents, empty):
     text = "\n".join([COPY, COPY, "same line", "same line", "", "#$% |"])
     frame = spark.createDataFrame([(i, text if i < 8 else prose(30), "bad" if i < 10 else None) for i in range(40)], "doc_id long, text string, source string")
