@@ -168,6 +168,14 @@ def _plain_spans(text: str) -> list[tuple[int, int, int]]:
     return [(k, *m.span()) for k, (pattern, good) in enumerate(rules) for m in re.finditer(pattern, text) if good(m[0])]
 
 
+def test_labels_without_a_document_leave_the_model_as_it_is(spark):
+    docs = spark.createDataFrame([(i, f"{prose(30)} {'awful nasty words' if i % 2 else ''}") for i in range(300)], "doc_id long, text string")
+    own = [(i, i % 2) for i in range(300)]
+    plain = toxicity.train(docs, spark.createDataFrame(own, "doc_id long, toxic int"), most_rows=300)
+    more = toxicity.train(docs, spark.createDataFrame(own + [(i, i % 2) for i in range(1000, 6000)], "doc_id long, toxic int"), most_rows=300)
+    assert len(plain.at) > 1 and plain.at.tolist() == more.at.tolist() and plain.weight.tolist() == more.weight.tolist()
+
+
 def test_base_spans_equal_the_patterns():
     parts = ["a.b+c", "@", "mail-1.example", ".com", "192.168.0.1", ".", "999.1.1.1", " ", "4111 1111 1111 1111", "+49 (30) 1234-567", "+", "1", "-", "é", "00000255.1.2.3", "x"]
     for _ in range(4000):

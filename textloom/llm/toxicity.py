@@ -107,6 +107,8 @@ def train(
     """Fit on the ``most_rows`` labelled documents whose keys have the smallest hashes."""
     order = F.xxhash64(F.col("key").cast("string"))
     known = labels.select(F.col(key).alias("key"), F.col(label).cast("double").alias("label")).dropna()
+    # Labels without a document don't count towards the bound.
+    known = known.join(documents.select(F.col(key).alias("key")), "key", "left_semi")
     sample = known.groupBy("key").agg(F.max("label").alias("label")).orderBy(order, "key").limit(most_rows)
     # At most most_rows pairs of a key and a label.
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(sample), "key")
