@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, decontaminate, host_rules, licences, passages, pii, simhash, token_files, toxicity, warc
+from textloom.llm import bpe, decontaminate, divergence, host_rules, licences, passages, pii, simhash, token_files, toxicity, warc
 from textloom.plans.session import stage_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -203,3 +203,37 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, line ORDER BY dice DESC, license
 def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License notices in all documents."""
     return licences.scan(_table(spark, sf_dir, "documents"))
+
+
+@query(r"""
+WITH docs AS (SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+words AS (SELECT i, lang, source, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS c FROM words GROUP BY lang, term HAVING count(DISTINCT i) >= 3),
+langs AS (SELECT d.lang, count(term) AS v, coalesce(sum(c), 0) AS n FROM (SELECT DISTINCT lang FROM docs) d LEFT JOIN kept ON d.lang = kept.lang GROUP BY d.lang),
+counted AS (SELECT words.lang, source, words.term, count(*) AS c FROM words JOIN kept ON words.lang = kept.lang AND words.term = kept.term GROUP BY ALL),
+sizes AS (SELECT lang, source, sum(c) AS n FROM counted GROUP BY ALL),
+pairs_of AS (SELECT DISTINCT lang, source FROM docs),
+shares AS (
+  SELECT g.lang, g.source, kept.term, coalesce(counted.c, 0) AS c,
+    1 + 1000000000 * (coalesce(counted.c, 0) + 1) // (coalesce(sizes.n, 0) + v) AS p, 1 + 1000000000 * (kept.c + 1) // (langs.n + v) AS whole
+  FROM pairs_of g JOIN langs ON g.lang = langs.lang JOIN kept ON g.lang = kept.lang
+  LEFT JOIN sizes ON g.lang = sizes.lang AND g.source = sizes.source
+  LEFT JOIN counted ON g.lang = counted.lang AND g.source = counted.source AND kept.term = counted.term
+),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // b.p) AS BIGINT) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+both_parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(apart.value, 0) AS value
+  FROM pairs_of a JOIN pairs_of b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart ON a.lang = apart.lang AND a.source = apart.source AND b.source = apart.item
+  UNION ALL SELECT lang, source, 'term', term, CAST((p - whole) * (p - whole) // whole AS BIGINT) FROM shares WHERE c > 0 AND p > whole
+)
+SELECT lang, source, part, item, value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM both_parts
+QUALIFY part = 'pair' OR rank <= 200
+""")
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances of each source to its peers, and the terms in which it stands out from its language."""
+    return divergence.audit(_table(spark, sf_dir, "documents"))
