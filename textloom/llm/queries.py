@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, decontaminate, divergence, host_rules, licences, passages, pii, simhash, token_files, toxicity, warc
+from textloom.llm import bpe, decontaminate, divergence, host_rules, licences, neighbours, passages, pii, prefix_trie, simhash, token_files, toxicity, warc
 from textloom.plans.session import stage_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -237,3 +237,44 @@ QUALIFY part = 'pair' OR rank <= 200
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distances of each source to its peers, and the terms in which it stands out from its language."""
     return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+@query("""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY turn NULLS FIRST, role, text) AS t,
+    list_reduce(
+      list_concat([4294967295], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda x, s: CASE WHEN s >= 0 THEN xor(x, s) WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END
+    ) AS inverted
+  FROM c GROUP BY conv_id
+),
+heads AS (SELECT *, (4294967295 - inverted) % 6 AS h FROM own),
+again AS (SELECT a.conv_id, list_concat(list_slice(coalesce(b.t, []), 1, a.h), list_slice(a.t, a.h + 1, len(a.t))) AS t FROM heads a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 100),
+begun AS (SELECT conv_id, d, len(t) = d AS ends, md5(CAST(list_slice(t, 1, d) AS VARCHAR)) AS node, md5(CAST(list_slice(t, 1, d - 1) AS VARCHAR)) AS parent, CASE WHEN d = 0 THEN 0 ELSE length(t[d].text) END AS n
+  FROM (SELECT conv_id, t, unnest(range(0, len(t) + 1)) AS d FROM again)),
+nodes AS (
+  SELECT d, node, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(n) AS saved,
+    sha256(coalesce(string_agg(CASE WHEN ends THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256
+  FROM begun GROUP BY d, node
+),
+children AS (SELECT d - 1 AS d, parent AS node, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+totals AS (
+  SELECT begun.d, begun.node, sum(saved) AS saved, count(*) FILTER (WHERE children.n IS NULL) AS leaves
+  FROM nodes LEFT JOIN children ON nodes.d = children.d AND nodes.node = children.node JOIN begun ON begun.conv_id = nodes.conv_id AND begun.d <= nodes.d GROUP BY ALL
+)
+SELECT nodes.conv_id, nodes.d AS depth, up.conv_id AS parent_conv_id, nodes.n_convs, coalesce(children.n, 0) AS n_children, leaves AS n_leaves,
+  CAST(totals.saved AS BIGINT) AS saved_tokens, nodes.ends_sha256
+FROM nodes JOIN totals ON nodes.d = totals.d AND nodes.node = totals.node
+LEFT JOIN children ON nodes.d = children.d AND nodes.node = children.node
+LEFT JOIN nodes up ON up.d = nodes.d - 1 AND up.node = nodes.parent
+""")
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all conversations' beginnings, with what sharing them would save."""
+    return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
+
+
+@query()
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty nearest vectors found for every twentieth id."""
+    return neighbours.search(_table(spark, sf_dir, "embeddings"), "id % 20 = 0")
