@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
-from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
@@ -14,10 +13,12 @@ from pyspark.sql import types as T
 
 from textloom.functions import patterns as P
 from textloom.functions.source_names import dataset_slug, normalize_source, selection_name, tag_slug
-from textloom.functions.text import collection_key, decode_entities, digest, strip
+from textloom.functions.text import collection_key, digest, strip
 from textloom.operators import prepare
 from textloom.operators.dedup import keep_first
 from textloom.plans.session import small_side
+from textloom.sources import records, threads
+from textloom.sources.threads import CLASSIC_FORUM, MODERN_FORUM, AnchorRule  # noqa: F401
 
 log = logging.getLogger(__name__)
 
@@ -42,14 +43,12 @@ def read_first_existing(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 def read_review_queue(spark: SparkSession, path: str) -> DataFrame:
     """Review queue from CSV: header, quoted fields, line breaks within a field."""
-    return spark.read.csv(
-        path, schema=REVIEW_QUEUE_SCHEMA, header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8"
-    )
+    return records.read_csv(spark, path, REVIEW_QUEUE_SCHEMA)
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV table with string columns; types are not inferred, which would read it twice."""
-    return spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8")
+    return records.read_csv(spark, path)
 
 
 def stamp(rows: DataFrame, source: str | Column) -> DataFrame:
@@ -169,102 +168,14 @@ def question_rows(items: DataFrame, tag: str) -> DataFrame:
     return stamp(rows, F.concat(F.lit("stackexchange_"), tag_slug(F.lit(tag))))
 
 
-@dataclass(frozen=True)
-class AnchorRule:
-    """Which links of a page are thread links, in the manner of a selector list."""
-
-    classes: tuple[str, ...] = ()
-    id_prefixes: tuple[str, ...] = ()
-    href_parts: tuple[str, ...] = ()
-    container_classes: tuple[str, ...] = ()
-    heading_class: str | None = None
-    fallback_href_parts: tuple[str, ...] = field(default=())
-    limit: int = 15
-
-
-# The two kinds of forum page.
-CLASSIC_FORUM = AnchorRule(
-    classes=("title",), id_prefixes=("thread_title_",), fallback_href_parts=("showthread",), limit=15
-)
-MODERN_FORUM = AnchorRule(
-    classes=("PreviewTooltip", "title"),
-    heading_class="title",
-    container_classes=("structItem-title",),
-    href_parts=("threads/", "showthread"),
-    limit=40,
-)
-
-_ANCHOR = r"(?is)<a\b[^>]*>.*?</a\s*>"
-
-
-def _attribute(anchor: Column, name: str) -> Column:
-    open_tag = F.regexp_extract(anchor, r"(?is)^<[a-z0-9]+\b[^>]*>", 0)
-    value = rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    return F.concat(*[F.regexp_extract(open_tag, value, group) for group in (1, 2, 3)])
-
-
-def _has_class(tag: Column, names: Sequence[str]) -> Column:
-    classes = F.split(_attribute(tag, "class"), r"\s+")
-    result = F.lit(False)
-    for name in names:
-        result = result | F.array_contains(classes, name)
-    return result
-
-
-def _href_has(anchor: Column, parts: Sequence[str]) -> Column:
-    href = _attribute(anchor, "href")
-    result = F.lit(False)
-    for part in parts:
-        result = result | F.contains(href, F.lit(part))
-    return result
-
-
-def _thread_anchors(page: Column, rule: AnchorRule) -> Column:
-    """Anchors that satisfy the rule, in page order."""
-    chunks = []
-    if rule.heading_class:
-        chunks.append(r"<h3\b[^>]*>.*?</h3\s*>")
-    for name in rule.container_classes:
-        chunks.append(rf"""<(div|span|td|li)\b[^>]*class\s*=\s*["'][^"'>]*{name}[^>]*>.*?</\1\s*>""")
-    pattern = "(?is)" + "|".join([*chunks, r"<a\b[^>]*>.*?</a\s*>"])
-
-    def accepted(chunk: Column) -> Column:
-        inside = F.lit(False)
-        if rule.heading_class:
-            inside = inside | (chunk.rlike("(?i)^<h3") & _has_class(chunk, [rule.heading_class]))
-        if rule.container_classes:
-            inside = inside | (~chunk.rlike(r"(?i)^<(a|h3)\b") & _has_class(chunk, rule.container_classes))
-
-        def keep(anchor: Column) -> Column:
-            own = _has_class(anchor, rule.classes) | _href_has(anchor, rule.href_parts)
-            for prefix in rule.id_prefixes:
-                own = own | _attribute(anchor, "id").startswith(prefix)
-            return inside | own
-
-        return F.filter(F.regexp_extract_all(chunk, F.lit(_ANCHOR), F.lit(0)), keep)
-
-    found = F.flatten(F.transform(F.regexp_extract_all(page, F.lit(pattern), F.lit(0)), accepted))
-    if not rule.fallback_href_parts:
-        return found
-    every = F.regexp_extract_all(page, F.lit(_ANCHOR), F.lit(0))
-    fallback = F.filter(every, lambda anchor: _href_has(anchor, rule.fallback_href_parts))
-    return F.when(F.size(found) > 0, found).otherwise(fallback)
-
-
 def thread_titles(
     pages: DataFrame, rule: AnchorRule, source: str, html_col: str = "html", min_length: int = P.COLLECT_MIN
 ) -> DataFrame:
     """Thread titles from forum pages.
 
-    The cut to the first ``rule.limit`` links comes before the length test. Everything happens
-    within the row: no page is split over tasks and nothing is shuffled.
+    The cut to the first ``rule.limit`` links comes before the length test.
     """
-    links = F.slice(_thread_anchors(F.col(html_col), rule), 1, rule.limit)
-    # The text of an element is its stripped text nodes, put together without a separator.
-    space = f"{P.SPACE}*"
-    bare = F.transform(links, lambda link: F.regexp_replace(link, f"{space}<[^>]*>{space}", ""))
-    rows = pages.withColumn("_link", F.explode(bare)).withColumn("text", strip(decode_entities(F.col("_link"))))
-    return stamp(rows.drop("_link", html_col).where(F.length("text") >= min_length), source)
+    return stamp(threads.with_titles(pages, rule, html_col, min_length), source)
 
 
 def selected_sources(rows: DataFrame, selection: Sequence[str], alias: Column | None = None) -> DataFrame:
