@@ -35,7 +35,7 @@ from textloom.plans.session import staged
 #: Homes and visitors that meet in one block.
 BLOCK = 2048
 #: Pairs that a task compares at once.
-_PAIRS = 1 << 21
+_PAIRS = 1 << 18
 
 
 def fingerprint_texts(rows: list[bytes], shingle: int = 3, seed: int = 42) -> np.ndarray:
@@ -97,6 +97,19 @@ def at_anchors(prints: DataFrame) -> DataFrame:
     ).selectExpr("shiftleft(half, 32) | at AS anchor", "fp", "home")
 
 
+def _united(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels (each node's is the smallest of its component) after linking ``a`` and ``b``."""
+    while True:
+        x, y = label[a], label[b]
+        apart = np.flatnonzero(x != y)
+        if not len(apart):
+            return label
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while (label[label] != label).any():
+            label = label[label]
+
+
 def _forest(group: np.ndarray, fp: np.ndarray, home: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """Edges that connect what is linked within each group; rows are sorted by group, homes first."""
     starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
@@ -106,7 +119,9 @@ def _forest(group: np.ndarray, fp: np.ndarray, home: np.ndarray, distance: int)
     left = np.flatnonzero(home)
     own = np.searchsorted(starts, left, side="right") - 1
     many, first = visitors[own], starts[own] + homes[own]
-    a, b = [], []
+    # A home that also visits is one node.
+    node = np.unique(np.stack([group, fp.astype(np.int64)], axis=1), axis=0, return_inverse=True)[1].ravel()
+    label = np.arange(node.max(initial=-1) + 1)
     ends = np.cumsum(many)
     low = 0
     while low < len(left):
@@ -116,23 +131,8 @@ def _forest(group: np.ndarray, fp: np.ndarray, home: np.ndarray, distance: int)
         y = np.repeat(first[low:high] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
         apart = np.bitwise_count(fp[x] ^ fp[y])
         near = (apart <= distance) & (apart > 0)
-        a.append(x[near])
-        b.append(y[near])
+        label = _united(label, node[x[near]], node[y[near]])
         low = high
-    a, b = np.concatenate(a or [left]), np.concatenate(b or [left])
-    # A home that also visits is one node.
-    node = np.unique(np.stack([group, fp.astype(np.int64)], axis=1), axis=0, return_inverse=True)[1].ravel()
-    label = np.arange(node.max(initial=-1) + 1)
-    a, b = node[a], node[b]
-    while True:
-        least = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, a, least)
-        np.minimum.at(new, b, least)
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
     value = np.zeros(len(label), dtype=fp.dtype)
     value[node] = fp
     hangs = np.flatnonzero(label != np.arange(len(label)))
@@ -203,8 +203,9 @@ def one_per_group(df: DataFrame, key: str = "doc_id", text: str = "text", shingl
     key the one of smallest digest.
 
     Rows without a key belong to no group that could name them, so all of them stay."""
-    marked = df.withColumn("_digest", worker.digest(text)).where(F.col(key).isNotNull())
-    found = near_duplicates(marked, key, text, shingle, distance, ("_digest",))
-    named = found.where(F.col(key) == F.col("component")).groupBy("root").agg(F.min(F.struct(key, "_digest")).alias("one"))
-    kept = marked.join(named.select("one.*"), [key, "_digest"], "left_semi").dropDuplicates([key, "_digest"])
+    (digest,) = worker.unused(df, "digest")
+    marked = df.withColumn(digest, worker.digest(text)).where(F.col(key).isNotNull())
+    found = near_duplicates(marked, key, text, shingle, distance, (digest,))
+    named = found.where(F.col(key) == F.col("component")).groupBy("root").agg(F.min(F.struct(key, digest)).alias("one"))
+    kept = marked.join(named.select("one.*"), [key, digest], "left_semi").dropDuplicates([key, digest])
     return kept.select(*df.columns).unionByName(df.where(F.col(key).isNull()))

@@ -10,7 +10,7 @@ from typing import Any
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text that a task holds in its working arrays at once; a single longer text is taken whole.
@@ -65,6 +65,18 @@ def digest(text: str) -> Column:
     return F.md5(F.coalesce(F.col(text), F.lit("")))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names like the given ones for columns of one's own, which no column of the frame has."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        name = f"_own_{name}"
+        while name in taken:
+            name = f"_{name}"
+        found.append(name)
+    return found
+
+
 def texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
     """UTF-8 of a string column; null is empty."""
     return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]
