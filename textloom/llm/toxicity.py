@@ -81,10 +81,16 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray, settings: Settings) -> Mode
     """
     if len(np.unique(labels)) < 2:
         return Model(np.array([SPACE]), np.array([-np.inf]))
-    seen = np.bincount(np.concatenate(rows), minlength=SPACE + 1)
-    z, n, least = np.zeros(SPACE + 1), np.zeros(SPACE + 1), settings.l1 * np.sqrt(seen)
+    seen = np.zeros(SPACE + 1, dtype=np.int32)
+    for at in rows:
+        seen[at] += 1
+    # Only coordinates that are learned from get a place.
+    used = np.append(np.flatnonzero(seen[:SPACE] >= settings.least_rows), SPACE)
+    place = np.full(SPACE + 1, -1, dtype=np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
+    z, n, least = np.zeros(len(used)), np.zeros(len(used)), settings.l1 * np.sqrt(seen[used])
     a, b, l2 = settings.alpha, settings.beta, settings.l2
-    rows = [np.append(at[seen[at] >= settings.least_rows], SPACE) for at in rows]
+    rows = [np.append((own := place[at])[own >= 0], place[SPACE:]) for at in rows]
 
     def weights(at: np.ndarray, zs: np.ndarray, ns: np.ndarray) -> np.ndarray:
         return -np.sign(zs) * np.maximum(np.abs(zs) - least[at], 0) / ((b + np.sqrt(ns)) / a + l2)
@@ -96,8 +102,8 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray, settings: Settings) -> Mode
             g = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - label
             z[at] = zs + g - (np.sqrt(ns + g * g) - np.sqrt(ns)) / a * w
             n[at] = ns + g * g
-    used = np.flatnonzero((np.abs(z) > least) | (np.arange(SPACE + 1) == SPACE))
-    return Model(used, weights(used, z[used], n[used]))
+    kept = np.flatnonzero((np.abs(z) > least) | (used == SPACE))
+    return Model(used[kept], weights(kept, z[kept], n[kept]))
 
 
 def train(
@@ -125,7 +131,7 @@ def train(
         for batch in batches:
             lists = batch.column("at")
             ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
-            flat = lists.flatten().to_numpy(zero_copy_only=False).copy()
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
             at += np.split(flat, ends[:-1])
             label += batch.column("label").to_pylist()
         if at:
@@ -134,7 +140,7 @@ def train(
 
     extracted = rows.select(order.alias("place"), "label", "text").mapInArrow(extract, "place long, label double, at array<int>")
     # One task, as each step of the learner follows the one before; its rows are bounded by most_rows.
-    learned = extracted.repartition(1).sortWithinPartitions("place", "label").mapInArrow(learn, "at int, weight double").toArrow()
+    learned = extracted.repartition(1).sortWithinPartitions("place", "label", "at").mapInArrow(learn, "at int, weight double").toArrow()
     if not learned.num_rows:
         return Model(np.array([SPACE]), np.array([-np.inf]))
     return Model(*(learned.column(c).to_numpy() for c in ("at", "weight")))
