@@ -195,6 +195,7 @@ def contamination(
 def without_contaminated(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows, all columns, without a hit. Hits belong to a key and a text, so of rows that share a key,
     null too, only the contaminated ones go."""
-    hit = contamination(documents, items, key, text).where("contaminated").select(F.col(key).alias("_key"), F.col("digest").alias("_digest"))
-    same = F.col(key).eqNullSafe(F.col("_key")) & (worker.digest(text) == F.col("_digest"))
+    own_key, digest = worker.unused(documents, "key", "digest")
+    hit = contamination(documents, items, key, text).where("contaminated").select(F.col(key).alias(own_key), F.col("digest").alias(digest))
+    same = F.col(key).eqNullSafe(F.col(own_key)) & (worker.digest(text) == F.col(digest))
     return documents.join(hit.distinct(), same, "left_anti")
