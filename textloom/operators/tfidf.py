@@ -8,8 +8,7 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.ml.feature import CountVectorizerModel
@@ -17,9 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.text import model_tokens, ngrams
+from textloom.operators.heavy import most_frequent
 
-
-_WORDS_PER_FEATURE = 3
+#: Column of a frame whose texts were taken apart beforehand.
+WORDS = "_words"
 
 
 @dataclass(frozen=True)
@@ -51,25 +51,20 @@ class TfidfModel:
         return CountVectorizerModel.from_vocabulary(list(self.terms), inputCol="_terms", outputCol="_tf")
 
 
-def with_terms(
-    df: DataFrame, config: TfidfConfig, text_col: str = "text", name: str = "_terms", words: Sequence[str] | None = None
-) -> DataFrame:
-    """Add the terms of every text; with ``words``, only terms made of those words."""
-    df = df.withColumn(name, model_tokens(F.coalesce(F.col(text_col), F.lit(""))))
-    if words is not None:
-        # One expression string: the words hold no quotes, and the list becomes a hash set.
-        listed = ", ".join(f"'{word}'" for word in words)
-        df = df.withColumn(name, F.expr(f"transform({name}, word -> CASE WHEN word IN ({listed}) THEN word END)"))
-    terms = ngrams(F.col(name), config.ngram_low, config.ngram_high)
-    return df.withColumn(name, terms if words is None else F.array_compact(terms))
+def words_of(text_col: str = "text") -> Column:
+    """The words of a text, none for a null."""
+    return model_tokens(F.coalesce(F.col(text_col), F.lit("")))
 
 
-def term_counts(
-    df: DataFrame, config: TfidfConfig, text_col: str = "text", words: Sequence[str] | None = None
-) -> DataFrame:
-    """Occurrences and documents per term; the row of the null term counts the documents.
+def with_terms(df: DataFrame, config: TfidfConfig, text_col: str = "text", name: str = "_terms") -> DataFrame:
+    """Add the terms of every text. A frame that has its words as ``WORDS`` is not tokenised again."""
+    words = F.col(WORDS) if WORDS in df.columns else words_of(text_col)
+    df = df.withColumn(name, words)
+    return df.withColumn(name, ngrams(F.col(name), config.ngram_low, config.ngram_high))
 
-    With ``words``, only terms made of those words are counted.
+
+def term_counts(df: DataFrame, config: TfidfConfig, text_col: str = "text") -> DataFrame:
+    """Occurrences and documents per term; the row of the null term counts the documents.
 
     A document emits each occurrence once and each distinct term once more. Both counts are then
     sums by term, so no (document, term) pair is ever shuffled.
@@ -77,7 +72,7 @@ def term_counts(
     entry = lambda term, n, docs: F.struct(
         term.alias("term"), F.lit(n).alias("n"), F.lit(docs).alias("docs")
     )
-    terms = with_terms(df.select(text_col), config, text_col, words=words)
+    terms = with_terms(df, config, text_col).select("_terms")
     emitted = F.concat(
         F.array(entry(F.lit(None).cast("string"), 0, 1)),
         F.transform("_terms", lambda term: entry(term, 1, 0)),
@@ -95,26 +90,14 @@ def _most_frequent(counts: DataFrame, limit: int) -> DataFrame:
     return counts.orderBy(F.col("term").isNotNull(), F.desc("n"), "term").limit(limit + 1)
 
 
-def _possible_words(df: DataFrame, config: TfidfConfig, text_col: str) -> list[str] | None:
-    """Words that a vocabulary term can be made of; ``None`` where that rules nothing out.
-
-    A word pair occurs at most as often as either of its words. So once ``max_features`` single
-    words occur ``n`` times or more, a term with a rarer word has no place in the vocabulary. At
-    scale this keeps the long tail of word pairs, most of what would be shuffled, out of it.
-    """
-    counts = term_counts(df, replace(config, ngram_low=1, ngram_high=1), text_col).where("term IS NOT NULL")
-    top = counts.orderBy(F.desc("n"), "term").limit(_WORDS_PER_FEATURE * config.max_features + 1).collect()
-    if len(top) <= config.max_features:
-        return None
-    least = top[config.max_features - 1]["n"]
-    # A tie at the cut that goes on beyond the fetched rows cannot be told apart: no pruning.
-    return None if top[-1]["n"] >= least else [row["term"] for row in top if row["n"] >= least]
-
-
 def vocabulary(df: DataFrame, config: TfidfConfig, text_col: str = "text") -> DataFrame:
-    """The null term, then the most frequent terms; ties in alphabetical order."""
-    words = _possible_words(df, config, text_col) if config.ngram_high > 1 and config.ngram_low == 1 else None
-    return _most_frequent(term_counts(df, config, text_col, words), config.max_features)
+    """The null term, then the most frequent terms; ties in alphabetical order.
+
+    Words and pairs are counted in bounded summaries; longer terms one by one."""
+    if config.ngram_high > 2:
+        return _most_frequent(term_counts(df, config, text_col), config.max_features)
+    words = df.select(F.col(WORDS) if WORDS in df.columns else words_of(text_col).alias(WORDS))
+    return most_frequent(words, config.max_features, config.ngram_low, config.ngram_high)
 
 
 def fit_tfidf(df: DataFrame, config: TfidfConfig = MODEL_TFIDF, text_col: str = "text") -> TfidfModel:
