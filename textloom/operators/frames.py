@@ -14,6 +14,23 @@ def side_by_side(parts: list[DataFrame]) -> DataFrame:
     return stacked.agg(*[F.any_value(name, True).alias(name) for name in stacked.columns])
 
 
+#: A key with more than one part in so many of all rows is hot; fewer keys than this can be.
+HOT_KEYS = 1000
+
+
+def join_one(many: DataFrame, one: DataFrame, keys: list[str], rows: str, total: int) -> DataFrame:
+    """Inner join with a table of one row per key, which knows in ``rows`` how many rows the key has in ``many``.
+
+    Keys with more than a thousandth of the ``total`` of rows, fewer than a thousand, are joined by
+    broadcast, so that their rows stay where they are; the others meet in a shuffle without a hot key.
+    ``many`` is read twice.
+    """
+    bound = total // HOT_KEYS
+    hot = F.broadcast(one.where(F.col(rows) > bound))
+    rest = many.join(hot.select(keys), keys, "left_anti").join(one.where(F.col(rows) <= bound), keys)
+    return many.join(hot, keys).unionByName(rest)
+
+
 def as_map(counts: DataFrame, key: str, value: str, name: str) -> DataFrame:
     """A two-column frame as one row holding a map."""
     return counts.agg(F.map_from_entries(F.collect_list(F.struct(key, value))).alias(name))
