@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from textloom.functions.source_names import is_thematic
 from textloom.functions.stopwords import report_stopwords
 from textloom.operators import active, classifier, corpus, labelling, quality
-from textloom.sources import ingest, sinks
+from textloom.sources import ingest, sinks, versions
 
 
 @dataclass(frozen=True)
@@ -26,23 +26,30 @@ class Workspace:
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    def read(self, spark: SparkSession, name: str) -> DataFrame:
+        return versions.read(spark, self.path(name))
+
+    def write(self, df: DataFrame, name: str) -> None:
+        """Replace a table; readers of the version before go on."""
+        versions.write(df, self.path(name))
+
     def best(self, spark: SparkSession) -> DataFrame:
         """The richest table there is: annotated before clean before raw."""
-        return ingest.read_first_existing(spark, [self.path(name) for name in ("annotated", "clean", "raw")])
+        return versions.read_first_existing(spark, [self.path(name) for name in ("annotated", "clean", "raw")])
 
 
 def collect(spark: SparkSession, sources: Mapping[str, DataFrame], at: Workspace, order_by: Sequence[str] = ()) -> DataFrame:
     """Merge the readable sources, in the order given, into the raw table; returns its metrics."""
     merged = ingest.merge(list(ingest.available(dict(sources)).values()), order_by)
-    sinks.write_table(merged, at.path("raw"))
-    return ingest.collection_metrics(spark.read.parquet(at.path("raw")))
+    at.write(merged, "raw")
+    return ingest.collection_metrics(at.read(spark, "raw"))
 
 
 def clean(spark: SparkSession, at: Workspace, strategy: Mapping[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Clean the raw table; returns the quality report and the before/after comparison."""
-    raw = spark.read.parquet(at.path("raw"))
-    sinks.write_table(quality.clean(raw, ["id"], strategy), at.path("clean"))
-    cleaned = spark.read.parquet(at.path("clean"))
+    raw = at.read(spark, "raw")
+    at.write(quality.clean(raw, ["id"], strategy), "clean")
+    cleaned = at.read(spark, "clean")
     comparison = quality.compare(raw, cleaned, ["id"])
     sinks.write_metrics(quality.metric_rows(comparison), at.path("quality_metrics"))
     return quality.detect_issues(raw, ["id"]), comparison
@@ -60,14 +67,14 @@ def annotate(
 
     Returns the annotation report; earlier ``reviews`` add the agreement to it.
     """
-    rows = spark.read.parquet(at.path("clean"))
+    rows = at.read(spark, "clean")
     labelled = (
         labelling.auto_label(rows, keywords)
         if scorer is None
         else labelling.auto_label_with(rows, scorer, tuple(keywords))
     )
-    sinks.write_table(labelled, at.path("annotated"))
-    annotated = spark.read.parquet(at.path("annotated"))
+    at.write(labelled, "annotated")
+    annotated = at.read(spark, "annotated")
     review = labelling.split_by_confidence(annotated, threshold)[1]
     sinks.write_review_queue(sinks.review_queue(review), at.path("review_queue"))
     sinks.write_label_studio(annotated, at.path("label_studio"))
@@ -78,7 +85,7 @@ def reviewed(
     spark: SparkSession, at: Workspace, reviews: DataFrame | None = None, threshold: float = labelling.CONFIDENCE_THRESHOLD
 ) -> DataFrame:
     """Confident rows, with the corrections of ``reviews`` merged in where given."""
-    confident = labelling.split_by_confidence(spark.read.parquet(at.path("annotated")), threshold)[0]
+    confident = labelling.split_by_confidence(at.read(spark, "annotated"), threshold)[0]
     return confident if reviews is None else labelling.merge_reviews(confident, reviews)
 
 
@@ -115,7 +122,7 @@ def run(
     if training.model is not None:
         training.model.save(spark, at.path("model"))
     sinks.write_metrics(training.metrics, at.path("model_metrics"))
-    tables = [spark.read.parquet(at.path(name)) for name in ("raw", "clean", "annotated")]
+    tables = [at.read(spark, name) for name in ("raw", "clean", "annotated")]
     return Run(collection, report, comparison, annotation, learning, training, labelling.progress_report(*tables, queue))
 
 
