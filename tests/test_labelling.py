@@ -140,3 +140,11 @@ def test_apply_corrections(spark):
     assert {row.id: row.corrected_label for row in got.collect()} == {"1": "safety", "2": "a", "3": "c", "4": "old", None: ""}
     assert labelling.apply_corrections(queue, decisions.limit(0), ["turn"]).where("corrected_label = 'old'").count() == 2
     assert labelling.apply_corrections(queue.limit(0), decisions).count() == 0
+
+
+def test_deviation_of_close_confidences(spark):
+    """Large and nearly equal values: a difference of squares would lose all digits."""
+    rows = [(str(i), "text", label, 1e8 + (1e-3 if i % 2 else -1e-3), "zero-shot") for label in ("a", "b") for i in range(50)]
+    df = spark.createDataFrame(rows, "id string, text string, label string, confidence double, label_source string")
+    report = labelling.annotation_quality(df).first()
+    assert report.confidence_mean == 1e8 and report.confidence_std == 0.001

@@ -133,6 +133,64 @@ def test_explanations(labelled, labels):
         assert [weight for _, weight in terms] == pytest.approx([parts[term] for term in best], abs=1e-6)
 
 
+def test_explanations_shuffle_nothing(spark, labelled):
+    model = classifier.TextClassifier().fit(labelled)
+    explained = model.explain(labelled, n=3)
+    plan = explained._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+    scored = model.predict(labelled)
+    rows = tfidf.transform_tfidf(scored.select("id", "text", F.lit("nowhere").alias("label")), model.tfidf)
+    assert classifier.top_contributions(rows, model.tfidf, model.labels, model.class_coefficients(), "id", 3).count() == 0
+    # Ties and order against the long form.
+    rows = tfidf.transform_tfidf(labelled.select("id", "text", "label"), model.tfidf)
+    got = {(r.id, r.rank): (r.term, r.weight) for r in classifier.top_contributions(rows, model.tfidf, model.labels, model.class_coefficients(), "id", 4).collect()}
+    line = dict(zip(model.labels, model.class_coefficients()))
+    for row in rows.collect():
+        terms = sorted((-w * line[row.label][i], i) for i, w in zip(row.features.indices, row.features.weights) if w * line[row.label][i] > 0)
+        for rank, (weight, i) in enumerate(terms[:4], 1):
+            assert got[row.id, rank] == (model.tfidf.terms[i], round(-weight, 6))
+    assert len(got) <= 4 * labelled.count()
+
+
+def test_a_fit_may_begin_from_an_earlier_model(spark, labelled):
+    few = labelled.where("id LIKE '%1%' OR id LIKE '%2%'")
+    maker = classifier.TextClassifier(tfidf=tfidf.TfidfConfig(max_features=60), balanced=False)
+    first, cold = maker.fit(few), maker.fit(labelled)
+    moved = first.moved(cold.labels, cold.tfidf)
+    at = {term: i for i, term in enumerate(first.tfidf.terms)}
+    for new, term in enumerate(cold.tfidf.terms):
+        assert moved[0][:, new].tolist() == (first.coefficients[:, at[term]].tolist() if term in at else [0.0] * len(cold.labels))
+    warm = maker.fit(labelled, start=first)
+    assert np.abs(warm.coefficients - cold.coefficients).max() < 1e-2
+    chances = {r.id: r.probability for r in cold.predict(labelled).collect()}
+    assert all(np.allclose(r.probability, chances[r.id], atol=1e-3) and r.prediction == r.label for r in warm.predict(labelled).collect())
+
+
+def test_a_start_for_other_classes():
+    spare = tfidf.TfidfModel(tfidf.QUERY_TFIDF, ("a", "b"), (1.0, 1.0), 2)
+    both = classifier.TextModel(("x", "y"), spare, np.array([[1.0, 2.0]]), np.array([3.0]), None)
+    more = classifier.TextModel(("x", "y", "z"), spare, np.arange(6.0).reshape(3, 2), np.arange(3.0), None)
+    assert both.moved(("x", "z"), spare) is None and both.moved(more.labels, spare) is None and more.moved(both.labels, spare) is None
+    assert [m.tolist() for m in both.moved(("x", "y"), spare)] == [[[1.0, 2.0]], [3.0]]
+    other = tfidf.TfidfModel(tfidf.QUERY_TFIDF, ("b", "c"), (1.0, 1.0), 2)
+    assert [m.tolist() for m in more.moved(("w", "y", "z"), other)] == [[[0.0, 0.0], [3.0, 0.0], [5.0, 0.0]], [0.0, 1.0, 2.0]]
+    constant = classifier.TextModel(("x",), spare, None, None, "x")
+    assert constant.moved(more.labels, spare) is None
+
+
+def test_words_taken_apart_beforehand(spark, labelled):
+    words = labelled.withColumn(tfidf.WORDS, tfidf.words_of()).withColumn("text", F.lit("nothing of this"))
+    config = tfidf.TfidfConfig(50)
+    assert tfidf.fit_tfidf(words, config) == tfidf.fit_tfidf(labelled, config)
+    same = lambda df: {r.id: r.features for r in tfidf.transform_tfidf(df, tfidf.fit_tfidf(labelled, config)).collect()}
+    assert same(words) == same(labelled)
+
+
+def test_longer_terms_are_counted_too(spark):
+    rows = spark.createDataFrame([("red blue red blue red",), ("red blue red",)], "text string")
+    assert tfidf.fit_tfidf(rows, tfidf.TfidfConfig(2, 3, 3)).terms == ("blue red blue", "red blue red")
+
+
 def test_single_class_gives_a_constant(labelled):
     model = classifier.TextClassifier().fit(labelled.where("label = 'safety'"))
     assert {(row.prediction, tuple(row.probability)) for row in model.predict(labelled).collect()} == {("safety", (1.0,))}

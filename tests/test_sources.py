@@ -111,6 +111,27 @@ def test_modern_forum(spark):
     ]
 
 
+def test_nested_containers(spark):
+    """A container ends at its own end tag, not at the first one of its name."""
+    page = (
+        '<div class="structItem-title"><div>New</div><a href="/t/1">Inside, after an inner container</a></div>'
+        '<a href="/u">Outside of any container, so not counted</a>'
+        '<h3 class=title><span><p>x<a href="/t/2">Below a heading and <b>two</b> elements</a></h3><a href="/v">After the heading it is over</a>'
+        '</span><div><div class="structItem-title"><br><img src="x"/><a/>'
+        '<a href="/t/3">Tom <!-- no -->&amp; <i> Jerry</i><script>var a = "</b>";</script> sail on together</a>'
+    )
+    assert titles(spark, page, ingest.MODERN_FORUM) == [
+        "Inside, after an inner container", "Below a heading andtwoelements", "Tom&Jerrysail on together",
+    ]
+
+
+def test_unclosed_and_nested_links(spark):
+    page = '<a class="title" href=/1>An unclosed link goes on <a class="title" href=/2>and holds the next one</a></a> rest'
+    assert titles(spark, page, ingest.CLASSIC_FORUM) == ["An unclosed link goes onand holds the next one", "and holds the next one"]
+    assert titles(spark, "</a></div><p>" + "<i>" * 5000 + '<a class="title">Deep below many open elements', ingest.CLASSIC_FORUM) == ["Deep below many open elements"]
+    assert titles(spark, None, ingest.CLASSIC_FORUM) == titles(spark, "", ingest.CLASSIC_FORUM) == []
+
+
 def test_selection(spark):
     rows = spark.createDataFrame([("Yachting World",), ("forum x",)], "source string")
     assert ingest.selected_sources(rows, []).count() == 2

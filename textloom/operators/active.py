@@ -13,7 +13,7 @@ from textloom.operators.dedup import keep_first
 from textloom.operators.frames import side_by_side
 from textloom.operators.metrics import class_scores, confusion, overall_scores
 from textloom.operators.split import SEED, random_rows, with_test_flag
-from textloom.operators.tfidf import QUERY_TFIDF
+from textloom.operators.tfidf import QUERY_TFIDF, WORDS, words_of
 from textloom.plans.session import small_side, staged
 
 STRATEGIES = ("entropy", "margin", "random")
@@ -91,11 +91,14 @@ def evaluate(
     test: DataFrame | None = None,
     id_col: str = "id",
     classifier: TextClassifier = QUERY_CLASSIFIER,
+    start: TextModel | None = None,
 ) -> tuple[TextModel, DataFrame, DataFrame]:
-    """Fit on the training part and score the rest: model, one row of metrics, scores per class."""
+    """Fit on the training part and score the rest: model, one row of metrics, scores per class.
+
+    The fit may begin from an earlier model."""
     rows = prepare.prepare_training(labeled)
     training, held_out = _holdout(rows, id_col) if test is None else (rows, prepare.prepare_training(test))
-    model = classifier.fit(training)
+    model = classifier.fit(training, start=start)
     counts = confusion(staged(model.predict(held_out).select("label", "prediction"), "holdout"))
     metrics = side_by_side([overall_scores(counts), training.agg(F.count("*").alias("n_train"))])
     return model, metrics, class_scores(counts)
@@ -114,26 +117,30 @@ def run_cycle(
     """The learning cycle: evaluate, query, move the queried rows over. One history row each.
 
     As in the reference, the query uses the model that was fitted on the training part of the
-    split, and queried rows without a label stay out of the next fit. The pool itself is never
-    copied: the ids of the first labelled rows, where the pool has ids of its own, and of the queried
-    ones, at most ``initial_size + iterations * batch_size`` (or one per class), are kept out by an
-    anti-join. The labelled rows are written once per iteration, which cuts their lineage.
+    split, and queried rows without a label stay out of the next fit. The pool is taken apart into words
+    and written once, and each fit starts from the coefficients of the one before. The ids of the first
+    labelled rows, where the pool has ids of its own, and of the queried ones, at most
+    ``initial_size + iterations * batch_size`` (or one per class), are kept out by an anti-join. The
+    labelled rows are written once per iteration, which cuts their lineage.
     """
     strategy = resolve_strategy(strategy)
     rows = prepare.prepare_training(labeled)
     own_ids = id_col in pool.columns
-    pool = prepare.prepare_pool(pool, id_col=id_col)
+    columns = [id_col, "text", "label", WORDS]
+    pool = prepare.prepare_pool(pool, id_col=id_col).withColumn(WORDS, words_of())
+    if strategy != "random" and iterations > 2:
+        pool = staged(pool.select(*columns), "pool")
     current = rows if rows.limit(initial_size).count() < initial_size else initial_sample(rows, initial_size, id_col)
-    current = staged(current.select(id_col, "text", "label"), "labelled")
+    current = staged(current.withColumn(WORDS, words_of()).select(*columns), "labelled")
     id_kind = dict(pool.dtypes)[id_col]
     id_schema = f"{id_col} {id_kind}"
     known = current.select(F.col(id_col).cast(id_kind)).where(F.col(id_col).isNotNull())
     queried_ids: list = [row[0] for row in known.collect()] if own_ids else []
-    history = []
+    history, model = [], None
     spark = rows.sparkSession
     for iteration in range(1, iterations + 1):
         try:
-            model, metrics, _ = evaluate(current, None, id_col, classifier)
+            model, metrics, _ = evaluate(current, None, id_col, classifier, model)
         except NotTrainable:
             break
         scores = metrics.first()
@@ -143,7 +150,7 @@ def run_cycle(
         left = pool
         if queried_ids:
             left = pool.join(F.broadcast(spark.createDataFrame([(i,) for i in queried_ids], id_schema)), id_col, "left_anti")
-        chosen = staged(query(model, left, strategy, batch_size, id_col).select(id_col, "text", "label"), "queried")
+        chosen = staged(query(model, left, strategy, batch_size, id_col).select(*columns), "queried")
         new_ids = [row[0] for row in chosen.select(id_col).collect()]
         if not new_ids:
             break

@@ -4,20 +4,23 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.operators import prepare
-from textloom.operators.frames import side_by_side, top_per_group
+from textloom.operators.frames import side_by_side
 from textloom.operators.metrics import class_scores, confusion, overall_scores
-from textloom.operators.softmax import fit_softmax, probabilities
+from textloom.operators.softmax import entries, fit_softmax, probabilities
 from textloom.operators.split import SEED, TEST_SIZE, with_test_flag
 from textloom.operators.tfidf import (
     MODEL_TFIDF,
+    WORDS,
     TfidfConfig,
     TfidfModel,
     fit_tfidf,
@@ -42,8 +45,13 @@ class TextClassifier:
     c: float = 1.0
     max_iter: int = 1000
 
-    def fit(self, df: DataFrame, text_col: str = "text", label_col: str = "label") -> TextModel:
-        """Fit on labelled rows. A single class gives a model that always predicts it."""
+    def fit(
+        self, df: DataFrame, text_col: str = "text", label_col: str = "label", start: TextModel | None = None
+    ) -> TextModel:
+        """Fit on labelled rows. A single class gives a model that always predicts it.
+
+        An earlier model may be given to start from. The objective is strictly convex in the coefficients,
+        so the result is the same, within the tolerance, and only the number of passes differs."""
         counts = {row[0]: row[1] for row in df.groupBy(label_col).count().collect()}
         if not counts:
             raise NotTrainable("no labelled rows to fit")
@@ -55,13 +63,15 @@ class TextClassifier:
         weights = [total / (len(labels) * counts[label]) if self.balanced else 1.0 for label in labels]
         place = F.array_position(F.array(*map(F.lit, labels)), F.col("_label")).cast("int")
         # Every pass runs one task per partition; a small training set needs only a few.
-        source = df.select(text_col, F.col(label_col).alias("_label")).coalesce(max(1, math.ceil(total / _ROWS_PER_TASK)))
+        kept = [c for c in (text_col, WORDS) if c in df.columns]
+        source = df.select(*kept, F.col(label_col).alias("_label")).coalesce(max(1, math.ceil(total / _ROWS_PER_TASK)))
         rows = transform_tfidf(source, tfidf, text_col).select(
             "features",
             (place - 1).alias("target"),
             F.element_at(F.array(*map(F.lit, weights)), place).alias("weight"),
         )
-        coefficients, intercepts = fit_softmax(rows, len(tfidf.terms), len(labels), self.c, self.max_iter)
+        first = start.moved(tuple(labels), tfidf) if start is not None else None
+        coefficients, intercepts = fit_softmax(rows, len(tfidf.terms), len(labels), self.c, self.max_iter, start=first)
         return TextModel(tuple(labels), tfidf, coefficients, intercepts, None)
 
 
@@ -91,6 +101,26 @@ class TextModel:
             "probability", probabilities(F.col("_features"), self.coefficients, self.intercepts)
         ).withColumn("prediction", F.element_at(F.array(*map(F.lit, self.labels)), best))
 
+    def moved(self, labels: tuple[str, ...], tfidf: TfidfModel) -> tuple[np.ndarray, np.ndarray] | None:
+        """Coefficients and intercepts for another vocabulary and other classes; what is new starts at zero.
+
+        ``None`` where the model has none, or only one of the two has a single row for two classes."""
+        if self.coefficients is None or (len(labels) == 2) != (len(self.labels) == 2):
+            return None
+        if len(labels) == 2 and labels != self.labels:
+            return None
+        lines = 1 if len(labels) == 2 else len(labels)
+        coefficients, intercepts = np.zeros((lines, len(tfidf.terms))), np.zeros(lines)
+        place = {term: at for at, term in enumerate(self.tfidf.terms)}
+        pairs = [(place[term], at) for at, term in enumerate(tfidf.terms) if term in place]
+        old, new = np.array(pairs, dtype=np.int64).reshape(-1, 2).T
+        line_of = {label: at for at, label in enumerate(self.labels)}
+        for at, label in enumerate(labels if lines > 1 else labels[:1]):
+            line = 0 if lines == 1 else line_of.get(label)
+            if line is not None:
+                coefficients[at, new], intercepts[at] = self.coefficients[line, old], self.intercepts[line]
+        return coefficients, intercepts
+
     def class_coefficients(self) -> np.ndarray:
         """One row per class."""
         if self.coefficients is None:
@@ -101,7 +131,8 @@ class TextModel:
         """The ``n`` terms that speak most for each row's prediction: id, label, rank, term, weight."""
         if self.coefficients is None:
             return df.sparkSession.createDataFrame([], _explanation_schema(df, id_col))
-        rows = self._score(transform_tfidf(df.select(id_col, text_col), self.tfidf, text_col, "_features"))
+        kept = [c for c in (id_col, text_col, WORDS) if c in df.columns]
+        rows = self._score(transform_tfidf(df.select(*kept), self.tfidf, text_col, "_features"))
         return top_contributions(
             rows.select(id_col, F.col("prediction").alias("label"), F.col("_features").alias("features")),
             self.tfidf, self.labels, self.class_coefficients(), id_col, n,
@@ -151,25 +182,35 @@ def _explanation_schema(df: DataFrame, id_col: str) -> str:
 def top_contributions(
     rows: DataFrame, tfidf: TfidfModel, labels: Sequence[str], coefficients: np.ndarray, id_col: str, n: int
 ) -> DataFrame:
-    """Largest positive ``weight * coefficient`` terms of each row for its label.
+    """Largest positive ``weight * coefficient`` terms of each row for its label; ties in alphabetical order.
 
-    The coefficient table has one row per vocabulary term, so ``max_features`` bounds what is
-    broadcast. A row's terms are ranked within the row's own group, never across rows.
+    A row's terms are weighted and ranked where the row lies, so nothing is shuffled. The coefficients
+    are sent to all tasks; classes times ``max_features`` bounds them. Rows whose label the model does not
+    know have no terms.
     """
-    table = rows.sparkSession.createDataFrame(
-        list(zip(range(len(tfidf.terms)), tfidf.terms, coefficients.T.tolist())),
-        "term_index int, term string, _coef array<double>",
-    )
+    sent = rows.sparkSession.sparkContext.broadcast((list(tfidf.terms), np.asarray(coefficients)))
     own = F.array_position(F.array(*map(F.lit, labels)), F.col("label")).cast("int")
-    weighted = (
-        rows.select(id_col, "label", F.explode(F.arrays_zip("features.indices", "features.weights")).alias("_e"))
-        .select(id_col, "label", F.col("_e.indices").alias("term_index"), F.col("_e.weights").alias("_w"))
-        .join(F.broadcast(table), "term_index")
-        .withColumn("weight", F.col("_w") * F.element_at("_coef", own))
-        .where("weight > 0")
-    )
-    best = top_per_group(weighted, id_col, n, F.desc("weight"), F.col("term"))
-    return best.select(id_col, "label", "rank", "term", F.round("weight", 6).alias("weight"))
+
+    def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, table = sent.value
+        names = pa.array(names, pa.string())
+        for batch in batches:
+            sizes, indices, values = entries(batch.column("features"))
+            line = pc.fill_null(batch.column("own"), 0).to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(batch.num_rows), sizes)
+            weight = np.where(line[row] > 0, values * table[line[row] - 1, indices], 0.0)
+            at = np.flatnonzero(weight > 0)
+            # Indices follow the terms' order.
+            at = at[np.lexsort((indices[at], -weight[at], row[at]))]
+            starts = np.flatnonzero(np.concatenate([[True], row[at][1:] != row[at][:-1]])) if len(at) else at
+            place = np.arange(len(at)) - np.repeat(starts, np.diff([*starts, len(at)]))
+            at, place = at[place < n], place[place < n]
+            own_rows = batch.select([id_col, "label"]).take(pa.array(row[at]))
+            columns = [*own_rows.columns, pa.array(place + 1, pa.int32()), names.take(pa.array(indices[at])), pa.array(weight[at])]
+            yield pa.RecordBatch.from_arrays(columns, names=[id_col, "label", "rank", "term", "weight"])
+
+    ranked = rows.select(id_col, "label", "features", own.alias("own")).mapInArrow(rank, _explanation_schema(rows, id_col))
+    return ranked.withColumn("weight", F.round("weight", 6))
 
 
 @dataclass(frozen=True)

@@ -63,8 +63,8 @@ def source_quality(df: DataFrame) -> DataFrame:
 def source_distribution(df: DataFrame) -> DataFrame:
     """Rows per source and its share of the total."""
     counts = df.groupBy(prepare.string_or(df, "source", "unknown").alias("source")).agg(F.count("*").alias("rows"))
-    # The window spans one row per source, not the corpus.
-    share = F.round(100.0 * F.col("rows") / F.sum("rows").over(Window.partitionBy()), 2)
+    total = counts.agg(F.sum("rows")).scalar()
+    share = F.round(100.0 * F.col("rows") / total, 2)
     return counts.withColumn("share_pct", share).orderBy(F.desc("rows"), "source")
 
 
@@ -110,10 +110,9 @@ def length_statistics(df: DataFrame) -> DataFrame:
 
 def length_histogram(df: DataFrame, bins: int = 50) -> DataFrame:
     """Rows per equal-width length bin between the shortest and the longest text."""
-    # The window spans one row per distinct length.
-    whole = Window.partitionBy()
-    low, high = F.min("text_len").over(whole), F.max("text_len").over(whole)
-    counts = length_counts(df).select("text_len", "rows", low.alias("low"), high.alias("high"))
+    counts = length_counts(df)
+    low, high = counts.agg(F.min("text_len")).scalar(), counts.agg(F.max("text_len")).scalar()
+    counts = counts.select("text_len", "rows", low.alias("low"), high.alias("high"))
     place = F.floor((F.col("text_len") - F.col("low")) * bins / (F.col("high") - F.col("low")))
     bin_number = F.when(F.col("high") > F.col("low"), F.least(place, F.lit(bins - 1))).otherwise(0)
     return counts.groupBy(bin_number.cast("bigint").alias("bin")).agg(F.sum("rows").alias("rows")).orderBy("bin")

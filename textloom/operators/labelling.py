@@ -178,15 +178,18 @@ def annotation_quality(
     groups = small_side(
         prepare.prepare_labeled(df, review_label).groupBy("label", "label_source").agg(
             F.count("*").alias("rows"),
-            F.sum(confidence).alias("_sum"),
-            F.sum(confidence * confidence).alias("_squares"),
+            F.avg(confidence).alias("_mean"),
+            F.var_pop(confidence).alias("_variance"),
             count_where(confidence < threshold).alias("_low"),
         )
     )
     rows = F.sum("rows")
     total, low = F.coalesce(rows, F.lit(0)), F.coalesce(F.sum("_low"), F.lit(0))
-    mean = F.sum("_sum") / rows
-    spread = F.sqrt(F.greatest(F.sum("_squares") / rows - mean * mean, F.lit(0.0)))
+    # Counts, means and variances of the groups merge without a difference of large squares.
+    mean = F.sum(F.col("_mean") * F.col("rows")) / rows
+    whole = groups.agg(mean.alias("mean")).scalar()
+    apart = F.col("_variance") + (F.col("_mean") - whole) * (F.col("_mean") - whole)
+    spread = F.sqrt(F.sum(F.col("rows") * apart) / rows)
     parts = [
         groups.agg(
             total.alias("total_labeled"),

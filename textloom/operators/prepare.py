@@ -9,6 +9,7 @@ from textloom.functions import patterns as P
 from textloom.functions.numbers import to_double
 from textloom.functions.text import collapse_whitespace, is_blank, strip
 from textloom.operators.dedup import with_position
+from textloom.plans.session import small_side
 
 RAW_COLUMNS = ("id", "text", "label", "source", "collected_at")
 QUEUE_COLUMNS = ("id", "text", "label", "confidence", "source", "suggested_label", "corrected_label")
@@ -140,7 +141,10 @@ def valid_classes(df: DataFrame, label_col: str = "label") -> list[str]:
 
 
 def drop_rare_classes(df: DataFrame, label_col: str = "label") -> DataFrame:
-    return df.where(F.col(label_col).isin(valid_classes(df, label_col)))
+    """Rows of the labels that :func:`valid_classes` keeps, found without the driver."""
+    counts = small_side(df.groupBy(label_col).agg(F.count("*").alias("_rows")))
+    rare_go = counts.agg(F.count_if(F.col("_rows") >= 2) >= 2).scalar()
+    return df.join(counts.where((F.col("_rows") >= 2) | ~rare_go).select(label_col), label_col, "left_semi")
 
 
 def handle_missing(df: DataFrame, strategy: str = "drop") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from textloom.plans import (  # noqa: F401
     corpus_queries,
+    exact_queries,
     label_queries,
     model_queries,
     source_queries,

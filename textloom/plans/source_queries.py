@@ -130,9 +130,9 @@ def question_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.collect_list(item).alias("items"))
         .select("items", F.lit(True).alias("has_more"))
     )
-    pages.write.json(path)
-    questions = spark.read.schema("items array<struct<title: string, tags: array<string>>>, has_more boolean").json(path)
-    return ingest.question_rows(questions.select(F.inline("items")), "Sail & Boats").select("text", "source")
+    # A page is a file of its own, as it is landed.
+    pages.write.option("maxRecordsPerFile", 1).json(path)
+    return ingest.ingest_questions(spark, path, "Sail & Boats").select("text", "source")
 
 
 _LINKS = r'<a href="([^"]*)">([^<]*)</a>'
@@ -149,6 +149,48 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", "text", "source")
 
 
+_TITLE = "regexp_extract(html, '<title>([^<]*)</title>', 1)"
+
+
+def _forum_pages(spark: SparkSession, sf_dir: str, most: int, item: str) -> DataFrame:
+    """Forum pages with up to ``most`` items that carry the titles of the given pages; ``item`` is SQL of ``title`` and ``i``."""
+    titled = table(spark, sf_dir, "pages").selectExpr("page_id", f"{_TITLE} AS title")
+    body = f"array_join(transform(sequence(1L, page_id % {most} + 1), i -> {item}), '')"
+    return staged(titled.selectExpr("page_id", f"concat('<html><body><table><tr>', {body}, '</tr></table></body></html>') AS html"), "forum")
+
+
+_TITLE_TEXT = "replace(replace(replace(replace(replace(title, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')"
+
+
+@query(f"""WITH t AS (SELECT page_id, {_TITLE} AS title FROM pages),
+ d AS (SELECT page_id, {_TITLE_TEXT} AS title, unnest(generate_series(1, least(15, page_id % 23 + 1))) AS i FROM t),
+ r AS (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN {S.strip('title')} || 'no. ' ELSE title || ' no. ' END || i AS text FROM d)
+ SELECT page_id, {S.strip('text')} AS text, 'cruisers_forum' AS source FROM r WHERE length({S.strip('text')}) >= 20""")
+def classic_forum_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thread titles of forum pages of the older kind: by class, by id, or by the fallback to addresses."""
+    item = """CASE page_id % 3
+      WHEN 0 THEN concat('<td><div>Sticky <a class="big title" href="/t/', i, '"><b>', title, '</b> no. ', i, '</a></div><a href="/last">To the last page of it</a></td>')
+      WHEN 1 THEN concat('<td><a id="thread_title_', i, '" href="/t/', i, '">', title, ' no. ', i, '</a><!-- <a class="title">Nothing but a remark</a> --></td>')
+      ELSE concat('<td><a href="/showthread.php?t=', i, '">', title, ' no. ', i, '</a> by <a href="/member">a member with a long name</a></td>') END"""
+    rows = ingest.thread_titles(_forum_pages(spark, sf_dir, 23, item), ingest.CLASSIC_FORUM, "cruisers_forum")
+    return rows.select("page_id", "text", "source")
+
+
+@query(f"""WITH t AS (SELECT page_id, {_TITLE} AS title FROM pages),
+ d AS (SELECT page_id, {_TITLE_TEXT} || ' no. ' || unnest(generate_series(1, least(40, page_id % 50 + 1))) AS text FROM t)
+ SELECT page_id, {S.strip('text')} AS text, 'sailingforums' AS source FROM d WHERE length({S.strip('text')}) >= 20""")
+def modern_forum_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thread titles of forum pages of the newer kind: by class, by address, and in containers that hold containers."""
+    item = """concat('<li><div class="structItem">', CASE i % 4
+      WHEN 0 THEN concat('<div class="x structItem-title"><div class="labels"><div>Hot</div><br></div><p><span><a href="/t">', title, ' no. ', i, '</a></span></div>')
+      WHEN 1 THEN concat('<a href="/threads/', i, '">', title, ' no. ', i, '</a>')
+      WHEN 2 THEN concat('<a class="PreviewTooltip" href="/p">', title, ' no. ', i, '</a>')
+      ELSE concat('<h3 class="title"><em>New</em> <a href="/h"><script>var a = "no title";</script>', title, ' no. ', i, '</a></h3>') END,
+      '</div></p><div class="meta"><a href="/u">a member of this forum here</a></div>')"""
+    rows = ingest.thread_titles(_forum_pages(spark, sf_dir, 50, item), ingest.MODERN_FORUM, "sailingforums")
+    return rows.select("page_id", "text", "source")
+
+
 @query(f"""WITH c AS ({S.CORPUS}) SELECT source, count(*) AS n FROM c
  WHERE source IN ('sailingforums', 'huggingface_set_0', 'kaggle_set_12') GROUP BY source""")
 def selected_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from textloom.functions import patterns as P
 from textloom.functions import source_names as N
 from textloom.functions import text as T
 from textloom.functions.numbers import to_double
-from textloom.operators import dedup, prepare, quality
+from textloom.operators import dedup, prepare, quality, similar
 from textloom.operators.frames import tags_union
 from textloom.plans import sql as S
 from textloom.plans.catalog import corpus, query, spread, table
@@ -281,6 +281,21 @@ def fuzzy_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.candidate_pairs(dedup.with_position(distinct, ["doc_id"]))
 
 
+@query()
+def similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with an earlier one that is 90 % similar, wherever that stands."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = similar.similar_rows(rows, pos_col="doc_id")
+    return found.select(F.col("pos").alias("doc_id"), F.col("twin").alias("twin_doc_id"), F.round("similarity", 2).alias("similarity"))
+
+
+@query(f"SELECT doc_id, coalesce({S.key("split_part(text, chr(10), 1)")}, '') AS topic FROM documents")
+def topic_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First lines as normalised topics."""
+    first = F.split_part("text", F.lit("\n"), F.lit(1))
+    return table(spark, sf_dir, "documents").select("doc_id", T.normalize_topic(first).alias("topic"))
+
+
 @query()
 def near_duplicate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate pairs of all documents."""
