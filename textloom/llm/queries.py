@@ -68,32 +68,42 @@ windows AS (
 twice AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, five) AS n FROM windows) WHERE n > 1),
 inside AS (SELECT doc_id, count(DISTINCT p + k) AS n FROM twice, (SELECT unnest(range(5)) AS k) GROUP BY doc_id),
 lines AS (
-  SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM words)
+  SELECT doc_id, count(*) AS lines, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM words)
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
 ),
 counted AS (
   SELECT words.doc_id, source, len(w) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
     CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-    CAST(coalesce(lines.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(inside.n, 0) AS BIGINT) AS n_repeat_words
+    coalesce(lines.lines, 0) AS n_lines, CAST(coalesce(lines.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(inside.n, 0) AS BIGINT) AS n_repeat_words
   FROM words LEFT JOIN lines ON words.doc_id = lines.doc_id LEFT JOIN inside ON words.doc_id = inside.doc_id
 ),
 ruled AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted),
-hosts AS (SELECT source, count(*) AS n, count(*) FILTER (WHERE base_failed) AS failed FROM ruled GROUP BY source),
-prior AS (
-  SELECT m, CASE WHEN coalesce(v, 0) = 0 THEN 10000.0 ELSE least(10000.0, greatest(1.0, m * (1 - m) / v - 1)) END AS strength
-  FROM (SELECT avg(failed / n) AS m, var_samp(failed / n) AS v FROM hosts)
+failing AS (
+  SELECT source, unnest(['base', 'symbols', 'lines', 'words']) AS rule, unnest([base_failed, 100 * n_symbols > 10 * word_chars,
+    100 * n_dup_lines > 30 * n_lines, word_chars < 2 * n_words OR word_chars > 15 * n_words]) AS fails FROM ruled
+),
+hosts AS (SELECT source, rule, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (WHERE fails) AS DOUBLE) AS failed FROM failing GROUP BY source, rule),
+moments AS (SELECT rule, count(*) AS k, sum(n) AS n, sum(n * n) AS squares, sum(failed) / sum(n) AS m, sum(failed) AS failed, sum(failed * (failed / n)) AS by_rate FROM hosts GROUP BY rule),
+fitted AS (
+  SELECT rule, m, CASE WHEN m * (1 - m) <= 0 OR n - squares / n - (k - 1) <= 0 THEN 0.0
+    ELSE ((by_rate - m * failed) / (m * (1 - m)) - (k - 1)) / (n - squares / n - (k - 1)) END AS correlation FROM moments
+),
+prior AS (SELECT rule, m, CASE WHEN correlation <= 0 THEN 10000.0 ELSE least(10000.0, greatest(1.0, 1 / correlation - 1)) END AS strength FROM fitted),
+verdicts AS (
+  SELECT source, bool_or((failed + m * strength) / (n + strength) >= least(0.5, greatest(0.3, m + 3 * sqrt(m * (1 - m) / (strength + 1))))) AS host_failed
+  FROM hosts JOIN prior ON hosts.rule = prior.rule GROUP BY source
 )
 """
 
 
 @query(_BASE_COUNTS + """
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND (failed + m * strength) / (n + strength) < 0.5 AS kept
-FROM ruled JOIN hosts ON ruled.source IS NOT DISTINCT FROM hosts.source CROSS JOIN prior
+  NOT base_failed AND NOT host_failed AS kept
+FROM ruled JOIN verdicts ON ruled.source IS NOT DISTINCT FROM verdicts.source
 """)
 def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and the verdict of each document and its host."""
-    return host_rules.judge(_table(spark, sf_dir, "documents")).drop("host", "host_rate")
+    return host_rules.judge(_table(spark, sf_dir, "documents")).drop("host", "n_lines", "host_failed")
 
 
 @query(r"""
