@@ -133,16 +133,22 @@ def retraining_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tags_union(modes, "mode")
 
 
-@query(f"""WITH {S.QUEUE} SELECT (SELECT count(*) FROM documents) AS total_rows, (SELECT count(*) FROM documents WHERE length(text) >= 50) AS clean_rows,
+_DECODED = "replace(replace(replace(replace(text, '&middot;', '·'), '&copy;', '©'), '&quot;', '\"'), '&amp;', '&')"
+
+
+@query(f"""WITH {S.QUEUE}, decoded AS (SELECT doc_id, {S.without_markup(_DECODED)} AS text FROM documents),
+ firsts AS (SELECT text FROM decoded QUALIFY row_number() OVER (PARTITION BY {S.key('text')} ORDER BY doc_id) = 1),
+ clean AS (SELECT text FROM firsts WHERE length(text) >= 50 AND {S.collapse('left(text, 1000)')} <> '')
+ SELECT (SELECT count(*) FROM documents) AS total_rows, (SELECT count(*) FROM clean) AS clean_rows,
  (SELECT count(*) FROM annotated) AS annotated_rows, (SELECT count(*) FROM queue) AS review_queue_rows,
- (SELECT count(*) FROM queue WHERE trim(corrected_label) <> '') AS reviewed_rows, (SELECT count(*) FROM documents WHERE length(text) < 50) AS rows_removed,
+ (SELECT count(*) FROM queue WHERE trim(corrected_label) <> '') AS reviewed_rows,
+ (SELECT count(*) FROM documents) - (SELECT count(*) FROM clean) AS rows_removed,
  (SELECT round(avg(confidence), 3) FROM annotated) AS confidence_mean""")
 def progress_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts over all stages."""
+    """Row counts over all stages; of the cleaning steps only the near-duplicate one, beyond SQL for documents, keeps its rows."""
     raw = corpus(spark, sf_dir)
-    keep = {"html_entities": "keep", "html_artifacts": "keep", "duplicates": "keep", "fuzzy_duplicates": "keep"}
     rows = annotated_table(spark, sf_dir)
-    return labelling.progress_report(raw, quality.clean(raw, ["doc_id"], keep), rows, queue(spark, sf_dir, rows))
+    return labelling.progress_report(raw, quality.clean(raw, ["doc_id"], {"fuzzy_duplicates": "keep"}), rows, queue(spark, sf_dir, rows))
 
 
 @query("""SELECT doc_id, CASE WHEN quality IS NULL THEN '' WHEN quality = 1 THEN lang ELSE 'reject' END AS corrected_label

@@ -210,16 +210,23 @@ def reviewed_training(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def curation_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A whole run over three tables, from collection to the trained model: progress and scores."""
+    """A whole run over three tables, with reviews and learning, from collection to the trained model: progress and scores."""
     documents = corpus(spark, sf_dir).select("text", "source", F.col("doc_id").alias("place"))
     turns = table(spark, sf_dir, "conversations").select(
         "text", F.concat(F.lit("chat_"), "role").alias("source"), (F.col("conv_id") * 1000 + F.col("turn")).alias("place")
     )
     items = table(spark, sf_dir, "benchmark").select("text", F.lit("benchmark").alias("source"), F.col("item_id").alias("place"))
     sources = {name: ingest.stamp(rows, F.col("source")) for name, rows in (("documents", documents), ("turns", turns), ("items", items))}
+    # Reviewers confirm the language of documents of good quality; ids come from source and text.
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    reviewed = corpus(spark, sf_dir).join(good, "doc_id", "left_semi").withColumn("id", F.md5(F.concat("source", F.lit("\u0001"), "text")))
+    reviews = reviewed.select(
+        "id", "text", "label", F.lit(0.5).alias("confidence"), "source", F.col("label").alias("suggested_label"), F.col("label").alias("corrected_label")
+    )
     at = flow.Workspace(stage_path(spark, "run"))
-    result = flow.run(spark, sources, at, KEYWORDS, skip_learning=True, order_by=["place"])
-    return side_by_side([result.progress, result.training.metrics])
+    result = flow.run(spark, sources, at, KEYWORDS, reviews=staged(reviews, "reviews"), order_by=["place"])
+    history = result.learning.agg(F.count("*").alias("iterations"), F.max("n_labeled").alias("n_labeled"), F.max_by("f1_macro", "iteration").alias("learned_f1"))
+    return side_by_side([result.progress, result.training.metrics, history])
 
 
 @query("SELECT 0.0::DOUBLE AS accuracy, 0.0::DOUBLE AS f1_macro, 0::BIGINT AS n_train, 'training takes two classes of two rows each' AS reason FROM (SELECT count(*) FROM documents WHERE lang = 'en')")
