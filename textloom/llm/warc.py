@@ -220,7 +220,9 @@ def read(archives: DataFrame) -> DataFrame:
         for file in opened.values():
             file.close()
 
-    spread = index(archives).repartition("path", "share").sortWithinPartitions("path", "at")
+    # The rows of an index stand for whole payloads, so their bytes say nothing about the tasks they are worth.
+    shares = archives.agg(F.sum(F.ceil(F.col("records") / RECORDS_PER_TASK))).first()[0] or 1
+    spread = index(archives).repartition(int(shares), "path", "share").sortWithinPartitions("path", "at")
     kinds = "key long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary"
     return spread.mapInArrow(run, kinds)
 
