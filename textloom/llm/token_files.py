@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textloom.llm import worker
+from textloom.plans.session import small_side
 
 #: Words and tokens that a worker remembers before it starts anew.
 CACHE_WORDS, CACHE_TOKENS = 1_200_000, 6_000_000
@@ -197,7 +198,8 @@ def with_start(tokens: DataFrame) -> DataFrame:
     total = tokens.groupBy("shard").agg(F.sum("n_tokens").alias("of_shard"))
     before = F.sum("of_shard").over(W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1))
     base = total.select("shard", F.coalesce(before, F.lit(0)).alias("base"))
-    return tokens.join(base, "shard").withColumn("start", F.col("start") + F.col("base")).drop("base")
+    # Written, so that its size is known and the ids stay where they are.
+    return tokens.join(small_side(base), "shard").withColumn("start", F.col("start") + F.col("base")).drop("base")
 
 
 def with_crc32(tokens: DataFrame, into: str = "ids_crc32") -> DataFrame:
