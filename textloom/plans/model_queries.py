@@ -224,7 +224,7 @@ def curation_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id", "text", "label", F.lit(0.5).alias("confidence"), "source", F.col("label").alias("suggested_label"), F.col("label").alias("corrected_label")
     )
     at = flow.Workspace(stage_path(spark, "run"))
-    result = flow.run(spark, sources, at, KEYWORDS, reviews=staged(reviews, "reviews"), order_by=["place"])
+    result = flow.run(spark, sources, at, KEYWORDS, reviews=staged(reviews, "reviews"), iterations=2, order_by=["place"])
     history = result.learning.agg(F.count("*").alias("iterations"), F.max("n_labeled").alias("n_labeled"), F.max_by("f1_macro", "iteration").alias("learned_f1"))
     return side_by_side([result.progress, result.training.metrics, history])
 
