@@ -34,6 +34,18 @@ def test_similarity(left, right, threshold):
     assert dedup.similarity(left, right, threshold) == (expected if expected >= threshold else 0.0)
 
 
+def test_only_the_band_is_computed(monkeypatch):
+    rnd = random.Random(4)
+    left = "".join(rnd.choice("abcd ") for _ in range(6000))
+    right = "".join(c for c in left if rnd.random() > 0.02)
+    widths, check = [], dedup._least_edits
+    monkeypatch.setattr(dedup, "_least_edits", lambda row, *rest: widths.append(row.bit_length()) or check(row, *rest))
+    assert dedup.common_subsequence(left, right, 200) == len(right)
+    assert widths and max(widths) < 200 + 2 * dedup._CHECK_EVERY + 10
+    other = "".join(rnd.choice("abcd ") for _ in range(6000))
+    assert dedup.common_subsequence(left, other, 600) is None and dedup.common_subsequence(left, left[:5000], 999) is None
+
+
 def near_copies(count, seed):
     random.seed(seed)
     texts = []
