@@ -6,9 +6,8 @@ number of five digits or more, as each kind that it could be. Boosted trees see
 what stands around it. Base spans in disguise (without the plus, with the at sign spelled out, with
 other separators), each where it stood, are the examples of personal data; free proposals whose format
 does not agree with a kind are the others, and those that agree are not learned from, as they may be
-either. Addresses of hosts have no disguise, so none are added. A part of a bounded sample sets the threshold, the smallest at which the trees are right often enough; spans beyond the
-base that reach it are added. Trees are fitted by Spark on ``MOST_SPANS`` spans of smallest hash (a
-documented parameter of :func:`fit`); all spans of all documents are scored.
+either. Addresses of hosts have no disguise, so none are added. A quarter of the examples sets the threshold, the smallest at which the trees are right often enough; spans beyond the
+base that reach it are added. Trees are fitted by Spark on the other three quarters, whatever their number; all spans of all documents are scored.
 
 Defined results: a null text is an empty one and has no spans; offsets are code points, ends
 exclusive; without enough spans of both kinds to learn from, or if no threshold is good enough, no
@@ -36,9 +35,9 @@ from textloom.llm import worker
 from textloom.plans.session import staged
 
 KINDS = ("email", "ip", "card", "phone")
-#: Bound of the training sample, spans of either label that it needs, share of right ones that a
-#: threshold has to reach on the calibration part, and code points of context.
-MOST_SPANS, LEAST_SPANS, PRECISION, CONTEXT = 20_000, 20, 0.98, 24
+#: Spans of either label that the trees need, share of right ones that a threshold has to reach on the
+#: calibration part, and code points of context.
+LEAST_SPANS, PRECISION, CONTEXT = 20, 0.98, 24
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
@@ -230,12 +229,12 @@ def _score(trees: GBTClassificationModel, spans: DataFrame) -> DataFrame:
     return scored.withColumn("score", vector_to_array("probability")[1]).drop("vector", "probability", "rawPrediction", "prediction")
 
 
-def fit(found: DataFrame, most_spans: int = MOST_SPANS, precision: float = PRECISION) -> Selector | None:
-    """Trees on three quarters of the sampled spans, the threshold on the rest."""
+def fit(found: DataFrame, precision: float = PRECISION) -> Selector | None:
+    """Trees on three quarters of all labelled spans, the threshold on the rest."""
     spans = found.select("row", F.inline("proposed")).where("label IS NOT NULL")
     order = F.xxhash64("row", "start", "end", "kind")
-    sample = staged(spans.select(order.alias("place"), "label", "features").orderBy("place").limit(most_spans), "spans")
-    learn, rest = sample.where("pmod(place, 4) <> 0"), sample.where("pmod(place, 4) = 0")
+    examples = staged(spans.select(order.alias("place"), "label", "features").orderBy("place"), "spans")
+    learn, rest = examples.where("pmod(place, 4) <> 0"), examples.where("pmod(place, 4) = 0")
     n, positive = learn.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if positive < LEAST_SPANS or n - positive < LEAST_SPANS:
         return None
