@@ -12,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from textloom.llm import bpe, components, decontaminate, host_rules, licences, passages, pii, simhash, token_files, toxicity, warc
@@ -176,6 +177,25 @@ def test_labels_without_a_document_leave_the_model_as_it_is(spark):
     assert len(plain.at) > 1 and plain.at.tolist() == more.at.tolist() and plain.weight.tolist() == more.weight.tolist()
 
 
+def test_toxicity_is_learned_from_all_labelled_rows(spark):
+    # Each word stands in as many documents as a learner has rows, so none of the learners alone would know all.
+    rows = [(i, f"{prose(20)} nasty{i % 8} blockhead{i % 8}" if i % 2 else prose(20), i % 2) for i in range(1600)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    labels = frame.select("doc_id", "toxic")
+    order = F.xxhash64(F.col("doc_id").cast("string"))
+    first = {r.doc_id for r in frame.orderBy(order).limit(400).collect()}
+    # All toxic rows but the four hundred of smallest hash have a word that these have not.
+    own = F.when(F.col("doc_id").isin(list(first)), F.col("text")).otherwise(F.regexp_replace("text", "nasty|blockhead", "rotten"))
+    model = toxicity.train(frame.withColumn("text", own), labels, most_rows=400)
+    seen = spark.createDataFrame([(1, "rotten1 rotten1 rotten1")], "doc_id long, text string")
+    blank = spark.createDataFrame([(1, "")], "doc_id long, text string")
+    score = lambda df: toxicity.score(df, model).first().score
+    assert score(seen) > score(blank) + 0.2
+    # Learners with a single kind of label don't spoil the others.
+    few = toxicity.train(frame, labels.withColumn("toxic", (F.col("doc_id") == 1).cast("int")), most_rows=400)
+    assert len(few.at) and np.isfinite(few.weight).all()
+
+
 def test_base_spans_equal_the_patterns():
     parts = ["a.b+c", "@", "mail-1.example", ".com", "192.168.0.1", ".", "999.1.1.1", " ", "4111 1111 1111 1111", "+49 (30) 1234-567", "+", "1", "-", "é", "00000255.1.2.3", "x"]
     for _ in range(4000):
@@ -198,6 +218,18 @@ def test_personal_data_is_found_and_redacted(spark, documents, empty):
     assert sorted(t or "" for (t,) in pii.redact(documents, odd).select("text").collect()) == sorted(t or "" for (t,) in documents.select("text").collect())
 
 
+def test_selector_learns_from_all_spans(spark, monkeypatch):
+    from pyspark.ml.classification import GBTClassifier
+
+    features = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (i + F.col("id") % 2).cast("double"))
+    proposed = F.array(F.struct(F.lit(0).alias("kind"), F.lit(0).alias("start"), F.lit(1).alias("end"), (F.col("id") % 2).cast("double").alias("label"), F.lit(False).alias("free"), features.alias("features")))
+    found = spark.range(24_000).select(F.col("id").alias("row"), proposed.alias("proposed"))
+    rows, fit = [], GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, df: rows.append(df.count()) or fit(self, df))
+    assert pii.fit(found) is not None
+    assert rows == [found.where(F.pmod(F.xxhash64("row", F.lit(0), F.lit(1), F.lit(0)), F.lit(4)) != 0).count()] and rows[0] > 15_000
+
+
 def test_loose_personal_data_is_added(spark):
     token = lambda: "".join(RND.choice("0123456789abcdef") for _ in range(32))
     rows = [(i, f"{prose(5)} me{i}@mail.example.com {prose(4)} +1 ({RND.randint(200, 999)}) 555-{RND.randint(1000, 9999)} {prose(4)} token = {token()} {prose(3)} order {RND.randint(10**9, 10**10)} {prose(3)}") for i in range(200)]

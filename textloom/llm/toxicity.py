@@ -3,9 +3,10 @@
 A text's features are its distinct words, pairs of neighbours and pairs with one word between,
 hashed into a fixed space. Each coordinate has its own learning rate, and the L1 term keeps nearly
 all weights at exactly zero, so that the model is a short list, bounded by the hash space, which
-every task holds. Learning is sequential by nature: it runs in one task over a bounded sample, the
-``MOST_ROWS`` labelled documents of smallest hash (a documented parameter of :func:`train`); their
-features are made where the documents lie. Scoring is one pass without a shuffle.
+every task holds. Learning is sequential by nature, so all labelled documents are dealt by a hash to as many
+learners as it takes for each to have ``MOST_ROWS`` on average (a parameter of :func:`train`); each learner
+goes through its documents in one task, and the mean of their weights is the model: a score's logit is the mean of the learners'
+logits. Scoring is one pass without a shuffle.
 
 Defined results: a null or empty text has no features and gets the score of the bias alone; labels
 that are null are left out, a document labelled more than once counts as its largest label, labels
@@ -27,8 +28,9 @@ from pyspark.sql import types as T
 
 from textloom.llm import worker
 from textloom.llm.decontaminate import word_hashes, words_of
+from textloom.plans.session import staged
 
-#: Size of the hash space (a power of two), and the bound of the training sample.
+#: Size of the hash space (a power of two), and the labelled rows of a learner.
 SPACE, MOST_ROWS = 1 << 22, 12_000
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
@@ -79,8 +81,6 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray, settings: Settings) -> Mode
     The L1 penalty of a coordinate grows with the root of the number of rows that have it, as does
     what it gathers by chance; coordinates of fewer than ``least_rows`` rows are left out.
     """
-    if len(np.unique(labels)) < 2:
-        return Model(np.array([SPACE]), np.array([-np.inf]))
     seen = np.zeros(SPACE + 1, dtype=np.int32)
     for at in rows:
         seen[at] += 1
@@ -110,40 +110,39 @@ def train(
     documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
     most_rows: int = MOST_ROWS, settings: Settings = Settings(),
 ) -> Model:
-    """Fit on the ``most_rows`` labelled documents whose keys have the smallest hashes."""
+    """Fit on all labelled documents, ``most_rows`` of them to a learner."""
     order = F.xxhash64(F.col("key").cast("string"))
     known = labels.select(F.col(key).alias("key"), F.col(label).cast("double").alias("label")).dropna()
-    # Labels without a document don't count towards the bound.
+    # Labels without a document don't count.
     known = known.join(documents.select(F.col(key).alias("key")), "key", "left_semi")
-    sample = known.groupBy("key").agg(F.max("label").alias("label")).orderBy(order, "key").limit(most_rows)
-    # At most most_rows pairs of a key and a label.
-    rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(sample), "key")
+    known = staged(known.groupBy("key").agg(F.max("label").alias("label")), "labels")
+    n, low, high = known.agg(F.count("*"), F.min("label"), F.max("label")).first()
+    if not n or low == high:
+        return Model(np.array([SPACE]), np.array([-np.inf]))
+    learners = -(-n // most_rows)
+    # One shuffle: the partitions in which documents meet their labels are the learners.
+    rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text")).repartition(learners, "key").join(known.repartition(learners, "key"), "key")
 
-    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at: list[np.ndarray] = []
+        place: list[int] = []
+        labels: list[float] = []
         for batch in worker.slices(batches, "text"):
             words = [words_of(t) for t in worker.texts(batch, "text")]
-            row, at = distinct_features(words)
-            at_lists = worker.lists(at, np.bincount(row, minlength=len(words)), pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column("place"), batch.column("label"), at_lists], names=["place", "label", "at"])
-
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, label = [], []
-        for batch in batches:
-            lists = batch.column("at")
-            ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
-            at += np.split(flat, ends[:-1])
-            label += batch.column("label").to_pylist()
+            row, own = distinct_features(words)
+            at += np.split(own.astype(np.int32), np.cumsum(np.bincount(row, minlength=len(words)))[:-1])
+            place += batch.column("place").to_pylist()
+            labels += batch.column("label").to_pylist()
         if at:
-            model = ftrl(at, np.array(label), settings)
+            turn = sorted(range(len(at)), key=lambda i: (place[i], labels[i], at[i].astype(">i4").tobytes()))
+            model = ftrl([at[i] for i in turn], np.array([labels[i] for i in turn]), settings)
             yield pa.RecordBatch.from_arrays([pa.array(model.at, pa.int32()), pa.array(model.weight)], names=["at", "weight"])
 
-    extracted = rows.select(order.alias("place"), "label", "text").mapInArrow(extract, "place long, label double, at array<int>")
-    # One task, as each step of the learner follows the one before; its rows are bounded by most_rows.
-    learned = extracted.repartition(1).sortWithinPartitions("place", "label", "at").mapInArrow(learn, "at int, weight double").toArrow()
-    if not learned.num_rows:
-        return Model(np.array([SPACE]), np.array([-np.inf]))
-    return Model(*(learned.column(c).to_numpy() for c in ("at", "weight")))
+    learned = staged(rows.select(order.alias("place"), "label", "text").mapInArrow(learn, "at int, weight double"), "learned")
+    # Every learner has a bias; the sums are bounded by the hash space.
+    total = learned.groupBy("at").agg(F.sum("weight").alias("weight"), F.count("*").alias("n")).orderBy("at").toArrow()
+    at, weight, n = (total.column(c).to_numpy() for c in ("at", "weight", "n"))
+    return Model(at, weight / n[-1])
 
 
 def _scorer(documents: DataFrame, model: Model):
