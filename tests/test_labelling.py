@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
+import pyarrow as pa
 import pytest
 
 from textloom.operators import labelling
@@ -148,3 +151,17 @@ def test_deviation_of_close_confidences(spark):
     df = spark.createDataFrame(rows, "id string, text string, label string, confidence double, label_source string")
     report = labelling.annotation_quality(df).first()
     assert report.confidence_mean == 1e8 and report.confidence_std == 0.001
+
+
+def test_a_scorer_holds_one_batch_of_texts():
+    batch = pa.RecordBatch.from_pydict({"id": list(range(5000)), "text": [f"{i} " + "x" * 4000 for i in range(5000)]})
+    score = lambda texts, labels: [(labels[0], len(t) / 10_000) for t in texts]
+    tracemalloc.start()
+    try:
+        out = list(labelling._with_scores(iter([batch]), score, ["a", "b"], "review", "own", 16))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # All texts as Python strings would be 20 MB.
+    assert peak < 4e6 and out[0].num_rows == 5000
+    assert out[0].slice(17, 1).to_pylist() == [{"id": 17, "text": "17 " + "x" * 4000, "label": "a", "confidence": 0.4003, "label_source": "own"}]

@@ -6,7 +6,7 @@ import logging
 import re
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -127,28 +127,33 @@ def auto_label_with(
         ]
     )
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        score = scorer() if lazy else scorer
-        for frame in frames:
-            rows: list[tuple[str, float, str]] = []
-            for start in range(0, len(frame), batch_size):
-                texts = frame["text"].iloc[start : start + batch_size].tolist()
-                try:
-                    scored = score(texts, labels)
-                    if len(scored) != len(texts):
-                        raise ValueError(f"scorer returned {len(scored)} results for {len(texts)} texts")
-                    rows += [
-                        (str(label or "").strip() or review_label, round(float(value), 6), label_source)
-                        for label, value in scored
-                    ]
-                except Exception as error:  # any scorer may fail in its own way
-                    log.warning("scorer failed, batch goes to review: %s", error)
-                    rows += [(review_label, 0.0, prepare.FALLBACK)] * len(texts)
-            out = frame.reset_index(drop=True)
-            out[["label", "confidence", "label_source"]] = pd.DataFrame(rows, columns=["l", "c", "s"])
-            yield out
-
-    return base.mapInPandas(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _with_scores(batches, scorer() if lazy else scorer, labels, review_label, label_source, batch_size)
+
+    return base.mapInArrow(run, schema)
+
+
+def _with_scores(
+    batches: Iterator[pa.RecordBatch], score: Scorer, labels: list[str], review_label: str, label_source: str, batch_size: int
+) -> Iterator[pa.RecordBatch]:
+    """The batches with label, confidence and label source; only one batch of the scorer is held as Python strings."""
+    for batch in batches:
+        rows: list[tuple[str, float, str]] = []
+        for start in range(0, batch.num_rows, batch_size):
+            texts = batch.column("text").slice(start, batch_size).to_pylist()
+            try:
+                scored = score(texts, labels)
+                if len(scored) != len(texts):
+                    raise ValueError(f"scorer returned {len(scored)} results for {len(texts)} texts")
+                rows += [
+                    (str(label or "").strip() or review_label, round(float(value), 6), label_source)
+                    for label, value in scored
+                ]
+            except Exception as error:  # any scorer may fail in its own way
+                log.warning("scorer failed, batch goes to review: %s", error)
+                rows += [(review_label, 0.0, prepare.FALLBACK)] * len(texts)
+        own = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.string()))]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *own], names=[*batch.schema.names, "label", "confidence", "label_source"])
 
 
 def split_by_confidence(
