@@ -138,3 +138,15 @@ def test_stopwords():
     words = report_stopwords("Minecraft and mods", ["minecraft_and_mods_basics", "weather_basics"])
     assert ENGLISH | MARKUP | TEMPLATE | {"minecraft", "mods"} == words
     assert "basics" in report_stopwords("Minecraft", ["minecraft_basics"])
+
+
+def test_quick_searches_change_no_result(spark):
+    texts = [None, "", "plain words", "a wp b", "WP", "\u212aeyassets", "figcapt\u0131on x", "t\u0131meincuk", "a&amp;b", "class = x", "<div>", "x<p", "a  b"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    c = F.col("text")
+    rows = df.select(
+        T.has_markup(c), c.rlike(P.MARKUP_ISSUE), T.has_artifact(c), c.rlike(P.holds_artifact_word(P.ARTIFACT_WORDS)) & c.rlike(P.artifact_word(P.ARTIFACT_WORDS)),
+    ).collect()
+    assert all(r[0] == r[1] and r[2] == r[3] for r in rows) and any(r[0] for r in rows) and sum(bool(r[2]) for r in rows) >= 4
+    # A search for bytes comes before either pattern.
+    assert all("Contains(" in df.select(f(c))._jdf.queryExecution().analyzed().toString() for f in (T.has_markup, T.has_artifact))
