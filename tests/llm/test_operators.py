@@ -196,6 +196,23 @@ def test_toxicity_is_learned_from_all_labelled_rows(spark):
     assert len(few.at) and np.isfinite(few.weight).all()
 
 
+def test_toxicity_of_many_learners_is_as_sure_as_that_of_one(spark):
+    # A learner sees each of the words in so few rows that it gives them little weight, or none.
+    rows = [(i, prose(20) + (f" rotten{i % 30 // 6}" if i % 6 == 0 else ""), int(i % 6 == 0)) for i in range(2400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(frame, frame.select("doc_id", "toxic").where(~toxicity.held_out()), most_rows=200)
+    apart = frame.where(toxicity.held_out())
+    scored = toxicity.score(apart, model).join(apart, "doc_id").collect()
+    assert sum(r.toxic for r in scored) > 100 and all((r.score >= 0.7) == bool(r.toxic) for r in scored)
+
+
+def test_slope_and_intercept_are_those_of_the_largest_likelihood():
+    step, rows = np.array([-128.0, -64, 0, 64, 128]), np.array([50_000, 20_000, 20_000, 20_000, 50_000.0])
+    hits = rows / (1 + np.exp(-(3 * step * toxicity.STEP - 1)))
+    assert toxicity.platt(step, hits, rows) == pytest.approx((3, -1), abs=0.01)
+    assert toxicity.platt(step, hits[::-1], rows) == (1, 0)
+
+
 def test_base_spans_equal_the_patterns():
     parts = ["a.b+c", "@", "mail-1.example", ".com", "192.168.0.1", ".", "999.1.1.1", " ", "4111 1111 1111 1111", "+49 (30) 1234-567", "+", "1", "-", "é", "00000255.1.2.3", "x"]
     for _ in range(4000):
