@@ -304,3 +304,11 @@ def test_split_keeps_quotas_with_repeated_ids(spark):
 def test_cycle_never_queries_what_is_labelled(spark, labelled):
     history = active.run_cycle(labelled, labelled, "random", iterations=2, batch_size=100, initial_size=30)
     assert [row.n_labeled for row in history.orderBy("iteration").collect()] == [30, 60]
+
+
+def test_training_takes_texts_apart_once(labelled, monkeypatch):
+    seen, fit, predict = [], classifier.fit_tfidf, classifier.TextModel.predict
+    monkeypatch.setattr(classifier, "fit_tfidf", lambda df, *rest: seen.append(df) or fit(df, *rest))
+    monkeypatch.setattr(classifier.TextModel, "predict", lambda model, df, *rest: seen.append(df) or predict(model, df, *rest))
+    assert classifier.train(labelled).metrics.first()["n_test"] == 12
+    assert [tfidf.WORDS in df.columns and "text" not in df.columns for df in seen] == [True, True]
