@@ -23,6 +23,9 @@ BATCH_SIZE = 20
 ITERATIONS = 5
 QUERY_CLASSIFIER = TextClassifier(tfidf=QUERY_TFIDF, balanced=False)
 
+#: Number of a row in a written pool.
+ROW = "_row"
+
 HISTORY_SCHEMA = "iteration int, n_labeled bigint, accuracy double, f1_macro double, strategy string"
 
 
@@ -57,9 +60,17 @@ def select_uncertain(scored: DataFrame, strategy: str, n: int, id_col: str = "id
 def query(
     model: TextModel | None, pool: DataFrame, strategy: str = "entropy", n: int = BATCH_SIZE, id_col: str = "id"
 ) -> DataFrame:
-    """Most informative pool rows under the strategy, without the model's columns."""
-    pool = prepare.prepare_pool(pool, id_col=id_col)
+    """Most informative pool rows under the strategy, without the model's columns.
+
+    Of a pool that :func:`taken_apart` wrote, only ids and words are scored; the chosen rows are read by their numbers."""
     strategy = resolve_strategy(strategy)
+    if ROW in pool.columns:
+        if strategy == "random":
+            chosen = random_rows(pool.select(id_col, ROW), max(1, n), id_col)
+        else:
+            chosen = select_uncertain(model.predict(pool.select(id_col, ROW, WORDS)), strategy, n, id_col)
+        return pool.where(F.col(ROW).isin([row[0] for row in chosen.select(ROW).collect()]))
+    pool = prepare.prepare_pool(pool, id_col=id_col)
     if strategy == "random":
         return random_rows(pool, max(1, n), id_col)
     return select_uncertain(model.predict(pool), strategy, n, id_col).select(*pool.columns)
@@ -104,6 +115,19 @@ def evaluate(
     return model, metrics, class_scores(counts)
 
 
+def taken_apart(pool: DataFrame, id_col: str = "id") -> DataFrame:
+    """The pool as the cycle reads it, with its words and numbered rows, written once."""
+    pool = prepare.prepare_pool(pool, id_col=id_col)
+    return staged(pool.select(id_col, "text", "label", words_of().alias(WORDS), F.monotonically_increasing_id().alias(ROW)), "pool")
+
+
+def seeds(labeled: DataFrame, initial_size: int = INITIAL_SIZE, id_col: str = "id") -> DataFrame:
+    """The rows that a cycle starts from, with their words, written once."""
+    rows = prepare.prepare_training(labeled)
+    first = rows if rows.limit(initial_size).count() < initial_size else initial_sample(rows, initial_size, id_col)
+    return staged(first.withColumn(WORDS, words_of()).select(id_col, "text", "label", WORDS), "labelled")
+
+
 def run_cycle(
     labeled: DataFrame,
     pool: DataFrame,
@@ -113,31 +137,29 @@ def run_cycle(
     initial_size: int = INITIAL_SIZE,
     id_col: str = "id",
     classifier: TextClassifier = QUERY_CLASSIFIER,
+    first: DataFrame | None = None,
 ) -> DataFrame:
     """The learning cycle: evaluate, query, move the queried rows over. One history row each.
 
     As in the reference, the query uses the model that was fitted on the training part of the
     split, and queried rows without a label stay out of the next fit. The pool is taken apart into words
-    and written once, and each fit starts from the coefficients of the one before. The ids of the first
+    and written once, unless :func:`taken_apart` did so; ``first`` may be what :func:`seeds` gave. Each fit starts from the coefficients of the one before. The ids of the first
     labelled rows, where the pool has ids of its own, and of the queried ones, at most
     ``initial_size + iterations * batch_size`` (or one per class), are kept out by an anti-join. The
     labelled rows are written once per iteration, which cuts their lineage.
     """
     strategy = resolve_strategy(strategy)
-    rows = prepare.prepare_training(labeled)
     own_ids = id_col in pool.columns
     columns = [id_col, "text", "label", WORDS]
-    pool = prepare.prepare_pool(pool, id_col=id_col).withColumn(WORDS, words_of())
-    if strategy != "random" and iterations > 2:
-        pool = staged(pool.select(*columns), "pool")
-    current = rows if rows.limit(initial_size).count() < initial_size else initial_sample(rows, initial_size, id_col)
-    current = staged(current.withColumn(WORDS, words_of()).select(*columns), "labelled")
+    if ROW not in pool.columns:
+        pool = taken_apart(pool, id_col) if iterations > 2 else prepare.prepare_pool(pool, id_col=id_col).withColumn(WORDS, words_of())
+    current = seeds(labeled, initial_size, id_col) if first is None else first
     id_kind = dict(pool.dtypes)[id_col]
     id_schema = f"{id_col} {id_kind}"
     known = current.select(F.col(id_col).cast(id_kind)).where(F.col(id_col).isNotNull())
     queried_ids: list = [row[0] for row in known.collect()] if own_ids else []
     history, model = [], None
-    spark = rows.sparkSession
+    spark = pool.sparkSession
     for iteration in range(1, iterations + 1):
         try:
             model, metrics, _ = evaluate(current, None, id_col, classifier, model)
@@ -162,10 +184,12 @@ def run_cycle(
 def compare_strategies(
     labeled: DataFrame, pool: DataFrame, strategies: Sequence[str] = STRATEGIES, **settings
 ) -> DataFrame:
-    """Histories of the cycle under each strategy."""
+    """Histories of the cycle under each strategy; all read the same written pool and start from the same rows."""
+    id_col = settings.get("id_col", "id")
+    pool, first = taken_apart(pool, id_col), seeds(labeled, settings.get("initial_size", INITIAL_SIZE), id_col)
     result = None
     for strategy in strategies:
-        history = run_cycle(labeled, pool, strategy, **settings)
+        history = run_cycle(labeled, pool, strategy, first=first, **settings)
         result = history if result is None else result.unionByName(history)
     return result
 
