@@ -312,3 +312,36 @@ def test_training_takes_texts_apart_once(labelled, monkeypatch):
     monkeypatch.setattr(classifier.TextModel, "predict", lambda model, df, *rest: seen.append(df) or predict(model, df, *rest))
     assert classifier.train(labelled).metrics.first()["n_test"] == 12
     assert [tfidf.WORDS in df.columns and "text" not in df.columns for df in seen] == [True, True]
+
+
+def test_strategies_share_the_written_pool(spark, labelled, pool, monkeypatch):
+    written, real = [], active.staged
+    monkeypatch.setattr(active, "staged", lambda df, name: written.append((name, df.columns)) or real(df, name))
+    history = active.compare_strategies(labelled, pool, ("margin", "random"), iterations=2, batch_size=10, initial_size=30).collect()
+    assert [columns for name, columns in written if name == "pool"] == [["id", "text", "label", tfidf.WORDS, active.ROW]]
+    assert [(row.strategy, row.n_labeled) for row in history] == [("margin", 30), ("margin", 40), ("random", 30), ("random", 40)]
+
+
+def test_rows_that_share_an_id_are_queried_one_by_one(spark):
+    rows = [("a", "wind storm", "x"), ("a", "rescue flare", "y"), ("b", "anchor winch", "x"), (None, "chart tide", "y")]
+    pool = active.taken_apart(spark.createDataFrame(rows, "id string, text string, label string"))
+    assert active.query(None, pool, "random", 1).count() == 1 and active.query(None, pool, "random", 9).count() == 4
+
+
+def test_fitted_rows_are_taken_apart_once(spark, tmp_path):
+    from textloom.plans import exact_queries
+
+    documents = [(i, text, label, "src0") for label in ("safety", "weather") for i, text in enumerate(texts(label, 20, 3))]
+    spark.createDataFrame(documents, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = exact_queries._labelled(spark, str(tmp_path))
+    assert rows.columns == ["id", "label", tfidf.WORDS]
+    settings = exact_queries._MODEL
+    plain = spark.createDataFrame([(text, label) for _, text, label, _ in documents], "text string, label string")
+    own, other = settings.fit(rows), settings.fit(plain)
+    assert own.tfidf == other.tfidf and own.coefficients == pytest.approx(other.coefficients, abs=1e-3)
+
+
+def test_rows_without_any_term_have_the_chances_of_the_intercepts(spark):
+    rows = spark.createDataFrame([(([], []),)] * 3, "features struct<indices:array<int>,weights:array<double>>").coalesce(1)
+    got = rows.select(softmax.probabilities(F.col("features"), np.zeros((3, 4)), np.log([1.0, 2.0, 5.0])).alias("p")).collect()
+    assert [row.p for row in got] == [pytest.approx([0.125, 0.25, 0.625])] * 3

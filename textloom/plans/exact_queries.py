@@ -108,7 +108,8 @@ _MODEL = classifier.TextClassifier(tfidf=tfidf.TfidfConfig(max_features=2000, ng
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staged(corpus(spark, sf_dir).select("id", "text", "label"), "training")
+    """Labelled rows with their words: taken apart once, for counting terms, fitting and predicting."""
+    return staged(corpus(spark, sf_dir).select("id", "label", tfidf.words_of().alias(tfidf.WORDS)), "training")
 
 
 @query("SELECT lang AS label, count(*) AS rows, count(*) AS expected_rows FROM documents GROUP BY lang")
