@@ -405,3 +405,54 @@ def test_licenses(spark, documents, empty):
     found = licences.scan(spark.createDataFrame(lines, "doc_id long, text string")).collect()
     assert {(r.doc_id, r.line, r.license, r.dice) for r in found} == {(1, 2, "MIT", 1.0), (2, 1, "Apache-2.0", 1.0)}
     assert licences.scan(documents).count() == 0 and licences.scan(empty).count() == 0 and licences.scan(documents, {}).count() == 0
+
+
+def test_packed_seeds_take_few_bytes_and_come_back(spark):
+    """Seeds and links travel packed: a few bytes a seed, so that they take less disk than the texts they are of."""
+    texts = [" ".join(_unlike(WORDS, 300)) for _ in range(200)]
+    texts += [None, "", "too short", texts[0], " ".join(texts[1].split()[40:120] + _unlike(WORDS, 30))]
+    frame = spark.createDataFrame(list(enumerate(texts)), "key long, text string").coalesce(1)
+    rows = passages.seeds(frame, 3).collect()
+    assert sum(len(r.packed) for r in rows) < 8 * sum(r.size for r in rows) and {r.part for r in rows} == {0, 1, 2}
+    assert sum(r.size for r in rows) == sum(len(set(zip(*[iter_[k:] for k in range(4)]))) + n for iter_, n in _seed_counts(texts))
+    linked = passages.links(passages.seeds(frame, 3), 5).collect()
+    held = {key for r in linked for key in r["keys"]}
+    assert held == {0, 203, 1, 204}
+
+
+def _seed_counts(texts):
+    """Words of each text with passages, and its distinct long seeds by the plain rule: the first smallest one of each window."""
+    from textloom.llm.decontaminate import word_hashes
+
+    for text in texts:
+        words = (text or "").lower().encode().split()
+        if len(words) >= passages.LEAST:
+            long = passages._mixed(word_hashes([words]), passages.LONG).tolist()
+            size = min(passages.WINDOW, len(long))
+            yield words, len({min(range(i, i + size), key=lambda p: (long[p], p)) for i in range(len(long) - size + 1)})
+
+
+def test_matches_and_pieces_of_many_pairs_are_those_of_each(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    pair, x, y = rng.integers(0, 30, 900), rng.integers(0, 60, 900), rng.integers(0, 60, 900)
+    y = np.where(rng.random(900) < 0.05, -1 - y, y)
+    order = np.lexsort((y, x, pair))
+    pair, x, y = pair[order], x[order], y[order]
+    own, *found = passages.blocks(*passages.matches(pair, x, y))
+    for p in range(30):
+        alone = passages.blocks(*passages.matches(pair[pair == p], x[pair == p], y[pair == p]))[1:]
+        assert all((a == b[own == p]).all() for a, b in zip(alone, found))
+        points = {(i, j) for i, j in zip(x[pair == p], y[pair == p]) if j >= 0}
+        points |= {(i + k, -1 - j + k) for i, j in zip(x[pair == p], y[pair == p]) if j < 0 for k in range(passages.LONG - passages.K + 1)}
+        assert {(a + k, b + k) for a, b, n in zip(*alone) for k in range(n)} == points
+
+
+def test_most_words_of_the_best_score_by_submatrix():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        table = rng.integers(-90, 60, tuple(rng.integers(1, 12, 2)))
+        assert passages._most(table).tolist() == [table[n:, n:].max() for n in range(min(table.shape))]
