@@ -416,10 +416,25 @@ def test_packed_seeds_take_few_bytes_and_come_back(spark):
     assert sum(len(r.packed) for r in rows) < 8 * sum(r.size for r in rows) and {r.part for r in rows} == {0, 1, 2}
     assert sum(r.size for r in rows) == sum(len(set(zip(*[iter_[k:] for k in range(4)]))) + n for iter_, n in _seed_counts(texts))
     linked = passages.links(passages.seeds(frame, 3), 5).collect()
-    held = {key for r in linked for key in r["keys"]}
+    import pyarrow as pa
+
+    held = {key for r in linked for key in passages._unpack_keys(pa.array([], pa.int64()), r.numbers, r.held).to_pylist()}
     assert held == {0, 203, 1, 204}
 
 
+def test_keys_of_all_kinds_are_packed_and_come_back(spark):
+    import pyarrow as pa
+
+    for keys in ([5, -3, 2**63 - 1, -(2**63), 0, 7], list(range(1000)), ["b", "", "a"]):
+        keys = pa.array(keys)
+        rest, numbers = passages._pack_keys(keys)
+        assert passages._unpack_keys(rest, numbers, len(keys)).equals(keys)
+    shared = " ".join(_unlike(WORDS, 60))
+    for kind, keys in (("string", ["b", "a"]), ("int", [2, -1])):
+        found = passages.repeated_passages(spark.createDataFrame([(k, shared) for k in keys], f"doc_id {kind}, text string")).collect()
+        assert [(r.doc_id, r.other, r.end, r.similarity) for r in found] == [(keys[0], keys[1], 60, 1.0)]
+
+
 def _seed_counts(texts):
     """Words of each text with passages, and its distinct long seeds by the plain rule: the first smallest one of each window."""
     from textloom.llm.decontaminate import word_hashes
