@@ -131,6 +131,15 @@ def test_links_and_components_equal_all_pairs(spark, monkeypatch, block):
     assert all(got.get(p, p) == find(p) for p in signed)
 
 
+def test_rows_at_anchors_are_not_broadcast(spark):
+    # 34 rows of each fingerprint, which Spark sizes as one: few rows here, beyond the driver's memory at 0.5 GB of texts.
+    prints = spark.range(1, 200).selectExpr("xxhash64(id) AS fingerprint")
+    found = simhash.links(prints)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components_of_a_chain_a_star_and_nothing(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 140)] + [(7, 7), (None, 3)]
     got = components.components(spark.createDataFrame(chain, "a long, b long")).collect()

@@ -154,7 +154,8 @@ def links(prints: DataFrame, distance: int = 3) -> DataFrame:
     blocks = f"""inline(concat(
         IF(home, transform(sequence(0, vb - 1), j -> struct(CAST({own.format("hb")} AS INT) AS i, j AS j, true AS home)), array()),
         transform(sequence(0, hb - 1), i -> struct(i AS i, CAST({own.format("vb")} AS INT) AS j, false AS home))))"""
-    met = rows.join(groups, "anchor").selectExpr("anchor", "fp", blocks)
+    # Spark sizes what is exploded by the rows before it, so it would broadcast rows that the driver cannot hold.
+    met = rows.hint("merge").join(groups, "anchor").selectExpr("anchor", "fp", blocks)
     dealt = met.repartition("anchor", "i", "j").sortWithinPartitions("anchor", "i", "j", F.col("home").desc())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
