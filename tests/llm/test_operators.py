@@ -399,6 +399,48 @@ def test_passages_whose_parts_others_hold_are_linked(spark):
     assert pairs <= {(r.doc_id, r.other) for r in found if r.end - r.start >= 60}
 
 
+def test_passages_with_a_later_holder_of_common_seeds_are_found(spark):
+    # The only runs of 4 words that 20 shares with 21 are those of a line that ten earlier documents hold.
+    def some(n):
+        return ["".join(RND.choices("abcdefghij", k=9)) for _ in range(n)]
+
+    line, tail = some(13), some(39)
+    changed = [x if i % 4 else y for i, (x, y) in enumerate(zip(tail, some(39)))]
+    rows = [(i, " ".join([*some(40), *line, *some(40)])) for i in range(10)]
+    rows += [(20, " ".join([*some(30), *line, *tail, *some(30)])), (21, " ".join([*some(25), *line, *changed, *some(35)]))]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.start, r.end, r.other, r.other_start, r.other_end) for r in found] == [(21, 25, 77, 20, 30, 82)]
+    found = passages.repeated_passages(spark.createDataFrame([(str(k), t) for k, t in rows], "doc_id string, text string")).collect()
+    assert [(r.doc_id, r.other) for r in found] == [("21", "20")]
+
+
+def test_words_around_two_places_hold_a_passage_if_aligning_them_finds_one():
+    rng, n, seen = np.random.default_rng(5), passages.MARGIN, [0, 0]
+    for _ in range(300):
+        x = rng.integers(0, 400, 2 * n + passages.K)
+        change = rng.random(len(x)) < rng.choice([0.1, 0.2, 0.3])
+        y = np.where(change, rng.integers(0, 400, len(x)), x)
+        cut = rng.random(len(y)) < rng.choice([0.0, 0.1])
+        y[n : n + passages.K], cut[n : n + passages.K] = x[n : n + passages.K], False
+        at = n - int(cut[:n].sum())
+        low, high = (0, len(x)) if rng.random() < 0.5 else (n - 20, n + 40)
+        x, y = x[low:high], y[~cut]
+        own = (n - low, n - low + passages.K, at, at + passages.K)
+        a, b = x.tolist(), y.tolist()
+        x0, x1, y0, y1, like = passages.align(a, b, list(own))
+        codes = np.full((2, 2 * n + passages.K), -1, dtype=np.int32)
+        codes[0, n - own[0] : n - own[0] + len(a)] = a
+        codes[1, n - own[2] : n - own[2] + len(b)] = b
+        finds = like >= passages.SIMILARITY and min(x1 - x0, y1 - y0) >= passages.LEAST
+        assert passages.holds_passage(codes[:1], codes[1:])[0] == finds
+        i, j = np.array([0]), np.array([1])
+        near = passages._common(*passages._bits(np.where((codes[:, :-1] >= 0) & (codes[:, 1:] >= 0), codes[:, :-1] << 15 | codes[:, 1:], -1)), i, j)
+        words = passages._common(*passages._bits(codes), i, j)
+        assert not finds or near[0] >= passages.PAIRED and words[0] >= passages.ALIKE
+        seen[finds] += 1
+    assert min(seen) > 30
+
+
 def test_common_subsequence_by_table():
     for _ in range(200):
         a, b = ([RND.choice("abc") for _ in range(RND.randint(1, 30))] for _ in range(2))

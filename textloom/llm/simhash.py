@@ -159,7 +159,7 @@ def links(prints: DataFrame, distance: int = 3) -> DataFrame:
     dealt = met.repartition("anchor", "i", "j").sortWithinPartitions("anchor", "i", "j", F.col("home").desc())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _whole(batches):
+        for batch in worker.whole_groups(batches, ("anchor", "i", "j")):
             name = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("anchor", "i", "j")], axis=1)
             group = np.cumsum(np.concatenate([[True], (name[1:] != name[:-1]).any(axis=1)]))
             fp = batch.column("fp").to_numpy().view(np.uint64)
@@ -170,22 +170,6 @@ def links(prints: DataFrame, distance: int = 3) -> DataFrame:
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Batches that end where a block ends; a block has a bounded size."""
-    rest: pa.Table | None = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        table = pa.concat_tables([rest, table]) if rest is not None else table
-        name = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("anchor", "i", "j")], axis=1)
-        cut = np.flatnonzero((name != name[-1]).any(axis=1)) if len(name) else []
-        edge = int(cut[-1]) + 1 if len(cut) else 0
-        if edge:
-            yield table.slice(0, edge).combine_chunks()
-        rest = table.slice(edge)
-    if rest is not None and rest.num_rows:
-        yield rest.combine_chunks()
-
-
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3, also: tuple[str, ...] = ()) -> DataFrame:
     """``key``, the columns ``also``, ``fingerprint`` (long), ``root`` (the smallest fingerprint that links
     reach) and ``component`` (the smallest key that has one of these), a row per row."""
